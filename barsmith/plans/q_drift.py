@@ -1 +1,413 @@
-"""Queries (filled in below)."""
+"""Queries: profile / baseline (A1, A2, R4), drift (K1-K6), captures.
+
+Inputs derived from ``events`` (FIXTURES part B): features ``value``,
+``k`` (from ``props``) and ``hour``; baseline window ts < 2024-01-21,
+live window ts >= 2024-01-24; capture lines built from the live events.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from barsmith.operators import drift as D
+from barsmith.operators.profile import baseline_stats, to_long
+from barsmith.params import DEFAULT_DRIFT as DP
+from barsmith.plans import sql as Q
+from barsmith.plans.registry import R, query, rounded, sql_round
+from barsmith.sources import captures as C
+
+FEATS = C.EVENT_FEATURES
+PSI_PROBS = [i / DP.psi_bins for i in range(DP.psi_bins + 1)]
+
+
+# ---------------------------------------------------------------------------
+# Spark builders
+# ---------------------------------------------------------------------------
+def _event_base(spark, sf_dir):
+    ev = C.event_features(spark, sf_dir)
+    return ev.filter(F.col("ts") < F.lit(C.BASELINE_END).cast("timestamp_ntz"))
+
+
+def _event_live(spark, sf_dir):
+    ev = C.event_features(spark, sf_dir)
+    return ev.filter(F.col("ts") >= F.lit(C.LIVE_START).cast("timestamp_ntz"))
+
+
+def _baseline(spark, sf_dir):
+    return baseline_stats(_event_base(spark, sf_dir), FEATS)
+
+
+def _live_long(spark, sf_dir):
+    return to_long(_event_live(spark, sf_dir), FEATS)
+
+
+def _round_arrays(df, cols, d):
+    from barsmith.plans.registry import round_col
+    return df.select(*[F.transform(c, lambda x: round_col(x, d)).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+# ---------------------------------------------------------------------------
+# SQL fragments
+# ---------------------------------------------------------------------------
+EF = """
+  SELECT event_id, ts, event_type, CAST(value AS DOUBLE) AS value,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         CAST(hour(ts) AS DOUBLE) AS hour
+  FROM events"""
+
+
+def _long(src: str, where: str, feats=None) -> str:
+    return "\n  UNION ALL\n".join(
+        f"  SELECT '{f}' AS feature, {f} AS v FROM {src} WHERE {where}" for f in (feats or FEATS))
+
+
+BASE_WHERE = f"ts < TIMESTAMP '{C.BASELINE_END}'"
+LIVE_WHERE = f"ts >= TIMESTAMP '{C.LIVE_START}'"
+_D = "CAST({} AS DOUBLE)"
+
+
+def _fl(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def baseline_ctes() -> dict[str, str]:
+    pct = ", ".join(f"quantile_cont(v, {_fl(p)}) AS {n}" for p, n in
+                    {0.05: "p5", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95"}.items())
+    return {
+        "ef": EF,
+        "base_long": _long("ef", BASE_WHERE),
+        "mom": f"""
+  SELECT feature, avg(v) AS mean, stddev_pop(v) AS std, min(v) AS mn, max(v) AS mx,
+         count(*) AS n_samples, {pct}
+  FROM base_long WHERE v IS NOT NULL GROUP BY feature""",
+        "ed": """
+  SELECT *, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS a,
+            CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS b FROM mom""",
+        "ed2": f"""
+  SELECT *, list_concat(list_transform(range({DP.hist_bins}),
+             lambda i: a + i * ((b - a) / CAST({DP.hist_bins} AS DOUBLE))), [b]) AS bin_edges
+  FROM ed""",
+        "hb": f"""
+  SELECT l.feature, len(list_filter(e.bin_edges[1:{DP.hist_bins}], lambda x: x <= l.v)) - 1 AS bin
+  FROM base_long l JOIN ed2 e ON l.feature = e.feature WHERE l.v IS NOT NULL""",
+        "hc": "  SELECT feature, bin, count(*) AS c FROM hb GROUP BY feature, bin",
+        "grid": f"  SELECT feature, unnest(range({DP.hist_bins})) AS bin FROM ed2",
+        "dense": """
+  SELECT g.feature, list(coalesce(h.c, 0) ORDER BY g.bin) AS counts
+  FROM grid g LEFT JOIN hc h ON g.feature = h.feature AND g.bin = h.bin GROUP BY g.feature""",
+        "bstats": f"""
+  SELECT e.feature, e.mean, e.std, e.mn AS min, e.mx AS max, e.p5, e.p25, e.p50, e.p75, e.p95,
+         e.n_samples, d.counts, e.bin_edges,
+         (SELECT count(*) FROM ef WHERE {BASE_WHERE}) AS n_train_samples, 'raw' AS space
+  FROM ed2 e JOIN dense d ON e.feature = d.feature""",
+    }
+
+
+def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """KS / PSI by brute force over the expanded baseline samples."""
+    c = baseline_ctes()
+    c.update(extra or {})
+    c["live_long"] = live_long or _long("ef", LIVE_WHERE)
+    probs = "[" + ", ".join(_fl(p) for p in PSI_PROBS) + "]"
+    c.update({
+        "pairs": f"""
+  SELECT feature, (bin_edges[i] + bin_edges[i + 1]) / CAST(2 AS DOUBLE) AS m, counts[i] AS c
+  FROM bstats, range(1, {DP.hist_bins + 1}) t(i)""",
+        "samp": "  SELECT p.feature, p.m FROM pairs p JOIN range(0, 10000000) n(j) ON n.j < p.c",
+        "lv": "  SELECT feature, v FROM live_long WHERE v IS NOT NULL AND feature IN (SELECT feature FROM bstats)",
+        "pts": """
+  SELECT feature, m AS x, 1 AS ib, 0 AS il FROM samp
+  UNION ALL SELECT feature, v, 0, 1 FROM lv""",
+        "pagg": "  SELECT feature, x, sum(ib) AS cb, sum(il) AS cl FROM pts GROUP BY feature, x",
+        "cdf": """
+  SELECT feature,
+         sum(cb) OVER w AS sb, sum(cl) OVER w AS sl,
+         CAST(sum(cb) OVER (PARTITION BY feature) AS DOUBLE) AS nb,
+         CAST(sum(cl) OVER (PARTITION BY feature) AS DOUBLE) AS nl
+  FROM pagg WINDOW w AS (PARTITION BY feature ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "ks0": """
+  SELECT feature, max(abs(sb / nb - sl / nl)) AS d, any_value(nb) AS nb, any_value(nl) AS nl
+  FROM cdf GROUP BY feature""",
+        "ks": f"""
+  SELECT feature, d, nb, nl,
+         (sqrt(nb * nl / (nb + nl)) + 0.12 + 0.11 / sqrt(nb * nl / (nb + nl))) * d AS lam
+  FROM ks0 WHERE nl > 0""",
+        "ksp": """
+  SELECT *, CASE WHEN lam < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(greatest(2 * list_sum(
+            list_transform(range(1, 101), lambda k: pow(CAST(-1 AS DOUBLE), k - 1)
+                           * exp(CAST(-2 AS DOUBLE) * k * k * lam * lam))), 0), 1) END AS p
+  FROM ks""",
+        "edges": f"""
+  SELECT feature, list_sort(list_distinct(quantile_cont(m, {probs}))) AS e FROM samp GROUP BY feature""",
+        "bbin": """
+  SELECT s.feature, len(list_filter(e.e[1:len(e.e) - 1], lambda q: q <= s.m)) - 1 AS bin
+  FROM samp s JOIN edges e ON s.feature = e.feature
+  WHERE len(e.e) >= 2 AND s.m >= e.e[1] AND s.m <= e.e[len(e.e)]""",
+        "lbin": """
+  SELECT s.feature, len(list_filter(e.e[1:len(e.e) - 1], lambda q: q <= s.v)) - 1 AS bin
+  FROM lv s JOIN edges e ON s.feature = e.feature
+  WHERE len(e.e) >= 2 AND s.v >= e.e[1] AND s.v <= e.e[len(e.e)]""",
+        "bgrid": "  SELECT feature, unnest(range(len(e) - 1)) AS bin FROM edges WHERE len(e) >= 2",
+        "psi0": f"""
+  SELECT g.feature,
+    sum((greatest(coalesce(lc.c, 0) / k.nl, {DP.psi_clip!r}) - greatest(coalesce(bc.c, 0) / k.nb, {DP.psi_clip!r}))
+        * ln(greatest(coalesce(lc.c, 0) / k.nl, {DP.psi_clip!r}) / greatest(coalesce(bc.c, 0) / k.nb, {DP.psi_clip!r})))
+      AS psi
+  FROM bgrid g JOIN ks0 k ON g.feature = k.feature
+  LEFT JOIN (SELECT feature, bin, count(*) AS c FROM bbin GROUP BY ALL) bc ON g.feature = bc.feature AND g.bin = bc.bin
+  LEFT JOIN (SELECT feature, bin, count(*) AS c FROM lbin GROUP BY ALL) lc ON g.feature = lc.feature AND g.bin = lc.bin
+  GROUP BY g.feature""",
+        "dfeat": f"""
+  SELECT k.feature,
+    CASE WHEN k.nl < {DP.min_feature_samples} THEN 0.0 ELSE k.d END AS ks_statistic,
+    CASE WHEN k.nl < {DP.min_feature_samples} THEN 1.0 ELSE k.p END AS ks_p_value,
+    CASE WHEN k.nl < {DP.min_feature_samples} THEN 0.0 ELSE coalesce(p.psi, 0.0) END AS psi
+  FROM ksp k LEFT JOIN psi0 p ON k.feature = p.feature""",
+        "drift": f"""
+  SELECT feature, ks_statistic, ks_p_value, ks_p_value < {DP.ks_alpha} AS ks_drifted, psi,
+    CASE WHEN psi < {DP.psi_stable} THEN 'stable' WHEN psi < {DP.psi_investigate} THEN 'investigate'
+         ELSE 'severe' END AS psi_severity
+  FROM dfeat""",
+    })
+    return c
+
+
+def _report_select(n_live_sql: str, gate: str = "") -> str:
+    return f"""
+SELECT n_features_drifted, drift_fraction, max_psi,
+       drift_fraction >= {DP.drift_fraction_threshold} AS overall_drift_detected,
+       (max_psi >= {DP.psi_investigate}) OR (drift_fraction >= {DP.drift_fraction_threshold}) AS trigger_retraining,
+       n_live_samples, n_baseline_samples
+FROM (
+  SELECT count(*) FILTER (WHERE ks_drifted) AS n_features_drifted,
+         CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE ks_drifted) / count(*) ELSE 0.0 END AS drift_fraction,
+         coalesce(max(psi), 0.0) AS max_psi,
+         ({n_live_sql}) AS n_live_samples,
+         (SELECT any_value(n_train_samples) FROM bstats) AS n_baseline_samples
+  FROM drift) r {gate}"""
+
+
+def _rsel(cols, src="drift"):
+    return "SELECT " + ", ".join(c if c in ("feature", "ks_drifted", "psi_severity") else R(c, c)
+                                 for c in cols) + f" FROM {src}"
+
+
+# ---------------------------------------------------------------------------
+# Queries
+# ---------------------------------------------------------------------------
+_BS_COLS = ["feature", "mean", "std", "min", "max", "p5", "p25", "p50", "p75", "p95",
+            "n_samples", "counts", "bin_edges", "n_train_samples", "space"]
+
+
+def _bs_sql():
+    sel = []
+    for c in _BS_COLS:
+        if c in ("mean", "std", "min", "max", "p5", "p25", "p50", "p75", "p95"):
+            sel.append(R(c, c))
+        elif c == "bin_edges":
+            sel.append(f"list_transform(bin_edges, lambda x: {sql_round('x', 6)}) AS bin_edges")
+        else:
+            sel.append(c)
+    return Q.cte(**baseline_ctes()) + "SELECT " + ", ".join(sel) + " FROM bstats"
+
+
+@query("baseline_stats", _bs_sql)
+def q_baseline_stats(spark, sf_dir):
+    return _round_arrays(rounded(_baseline(spark, sf_dir)), ["bin_edges"], 6)
+
+
+@query("baseline_histogram", lambda: Q.cte(**baseline_ctes()) +
+       "SELECT feature, counts, list_transform(bin_edges, lambda x: " + sql_round("x", 6) +
+       ") AS bin_edges FROM bstats")
+def q_baseline_histogram(spark, sf_dir):
+    b = _baseline(spark, sf_dir).select("feature", "counts", "bin_edges")
+    return _round_arrays(b, ["bin_edges"], 6)
+
+
+@query("baseline_midpoints", lambda: Q.cte(**baseline_ctes()) + """
+SELECT feature, m AS mid, c AS weight FROM (
+  SELECT feature, unnest(list_transform(range(1, 21), lambda i: """ +
+       sql_round("(bin_edges[i] + bin_edges[i + 1]) / CAST(2 AS DOUBLE)", 6) + """)) AS m,
+         unnest(counts) AS c FROM bstats)""")
+def q_baseline_midpoints(spark, sf_dir):
+    """(mid, weight) pairs instead of np.repeat re-expansion."""
+    from barsmith.plans.registry import round_col
+    m = D.baseline_midpoints(_baseline(spark, sf_dir))
+    z = m.select("feature", F.explode(F.arrays_zip("mids", "counts")).alias("z"))
+    return z.select("feature", round_col(F.col("z.mids"), 6).alias("mid"), F.col("z.counts").alias("weight"))
+
+
+@query("drift_features", lambda: Q.cte(**drift_ctes()) +
+       _rsel(["feature", "ks_statistic", "ks_p_value", "ks_drifted", "psi", "psi_severity"]))
+def q_drift_features(spark, sf_dir):
+    return rounded(D.drift_features(_baseline(spark, sf_dir), _live_long(spark, sf_dir)))
+
+
+@query("ks_two_sample", lambda: Q.cte(**drift_ctes()) + _rsel(["feature", "ks_statistic", "ks_p_value", "ks_drifted"]))
+def q_ks(spark, sf_dir):
+    return rounded(D.drift_features(_baseline(spark, sf_dir), _live_long(spark, sf_dir))
+                   .select("feature", "ks_statistic", "ks_p_value", "ks_drifted"))
+
+
+@query("psi", lambda: Q.cte(**drift_ctes()) + _rsel(["feature", "psi"]))
+def q_psi(spark, sf_dir):
+    return rounded(D.drift_features(_baseline(spark, sf_dir), _live_long(spark, sf_dir))
+                   .select("feature", "psi"))
+
+
+@query("psi_severity", lambda: Q.cte(**drift_ctes()) + _rsel(["feature", "psi_severity"]))
+def q_psi_severity(spark, sf_dir):
+    return D.drift_features(_baseline(spark, sf_dir), _live_long(spark, sf_dir)) \
+        .select("feature", "psi_severity")
+
+
+@query("psi_ranked", lambda: Q.cte(**drift_ctes()) + """
+SELECT feature, """ + R("psi", "psi") + """,
+  CASE WHEN psi > 0.2 THEN 'red' WHEN psi > 0.1 THEN 'orange' ELSE 'green' END AS band,
+  row_number() OVER (ORDER BY psi DESC, feature) AS psi_rank
+FROM drift""")
+def q_psi_ranked(spark, sf_dir):
+    """Features by PSI, descending, with the chart's colour band
+    (strict > 0.2 / > 0.1, unlike the severity's < bounds)."""
+    from pyspark.sql import Window
+    d = D.drift_features(_baseline(spark, sf_dir), _live_long(spark, sf_dir))
+    band = F.when(F.col("psi") > 0.2, "red").when(F.col("psi") > 0.1, "orange").otherwise("green")
+    # one row per feature: the ranking window is over a schema-sized table
+    w = Window.orderBy(F.desc("psi"), "feature")
+    return rounded(d.select("feature", "psi", band.alias("band"),
+                            F.row_number().over(w).alias("psi_rank")))
+
+
+@query("drift_report", lambda: Q.cte(**drift_ctes()) +
+       "SELECT " + ", ".join(
+           R(c, c) if c in ("drift_fraction", "max_psi") else c for c in
+           ["n_features_drifted", "drift_fraction", "max_psi", "overall_drift_detected",
+            "trigger_retraining", "n_live_samples", "n_baseline_samples"]) +
+       " FROM (" + _report_select(f"SELECT count(*) FROM ef WHERE {LIVE_WHERE}") + ")")
+def q_drift_report(spark, sf_dir):
+    base = _baseline(spark, sf_dir)
+    live = _event_live(spark, sf_dir)
+    feats = D.drift_features(base, to_long(live, FEATS))
+    n_live = live.agg(F.count(F.lit(1)).alias("n_live_samples"))
+    n_base = base.agg(F.max("n_train_samples").alias("n_baseline_samples"))
+    return rounded(D.drift_report(feats, n_live, n_base))
+
+
+# ---- captures ----------------------------------------------------------------
+CAP = f"""
+  SELECT event_id, ts, CASE WHEN event_id % {C.CORRUPT_MOD} = {C.BLANK_RES} THEN '' ELSE CAST(to_json({{
+    'captureData': {{'endpointInput': {{
+       'encoding': CASE WHEN event_id % 2 = 1 THEN 'BASE64' ELSE 'JSON' END,
+       'data': CASE WHEN event_id % {C.CORRUPT_MOD} = {C.CORRUPT_RES} THEN 'corrupt'
+                    WHEN event_id % 2 = 1 THEN to_base64(encode(body))
+                    ELSE body END}}}}}}) AS VARCHAR) END AS line
+  FROM (SELECT *, CAST(to_json({{'ticker': upper(event_type), 'features': [value, k, hour]}}) AS VARCHAR) AS body
+        FROM ef WHERE {LIVE_WHERE})"""
+
+PARSED = """
+  SELECT event_id, ts, try(json_extract_string(b, '$.ticker')) AS ticker,
+         try(CAST(json_extract(b, '$.features') AS DOUBLE[])) AS features
+  FROM (SELECT event_id, ts,
+          CASE WHEN coalesce(try(json_extract_string(trim(line), '$.captureData.endpointInput.encoding')),
+                             'BASE64') = 'BASE64'
+               THEN try(decode(from_base64(try(json_extract_string(trim(line), '$.captureData.endpointInput.data')))))
+               ELSE try(json_extract_string(trim(line), '$.captureData.endpointInput.data')) END AS b
+        FROM cap WHERE trim(line) <> '') t"""
+
+
+def _capture_ctes():
+    return {"ef": EF, "cap": CAP, "parsed0": PARSED,
+            "parsed": "  SELECT * FROM parsed0 WHERE features IS NOT NULL AND len(features) > 0"}
+
+
+def _vectors(spark, sf_dir):
+    return C.parse_captures(C.capture_lines(spark, sf_dir))
+
+
+@query("capture_parse", lambda: Q.cte(**_capture_ctes()) +
+       "SELECT event_id, ticker, list_transform(features, lambda x: " + sql_round("x", 6) + ") AS features FROM parsed")
+def q_capture_parse(spark, sf_dir):
+    v = _vectors(spark, sf_dir).select("event_id", "ticker", "features")
+    return _round_arrays(v, ["features"], 6)
+
+
+@query("capture_recent", lambda: Q.cte(ef=EF) + f"""
+SELECT event_id FROM ef
+WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - INTERVAL 3 DAY""")
+def q_capture_recent(spark, sf_dir):
+    """Path-date pruning (YYYY/MM/DD in the path) at as_of 2024-01-30, 3 days."""
+    lines = C.capture_lines(spark, sf_dir, start=None)
+    return C.recent_files(lines, "2024-01-30", 3).select("event_id")
+
+
+@query("vector_to_long", lambda: Q.cte(**_capture_ctes()) + """
+SELECT event_id, feature, """ + R("v", "value") + """ FROM (
+  SELECT event_id, unnest(['value', 'k', 'hour']) AS feature, unnest(features) AS v
+  FROM parsed WHERE len(features) = 3)""")
+def q_vector_to_long(spark, sf_dir):
+    return rounded(C.vector_to_long(_vectors(spark, sf_dir), "features", FEATS, ["event_id"]))
+
+
+def _check_sql():
+    live = """
+  SELECT 'value' AS feature, features[1] AS v FROM parsed WHERE len(features) = 3
+  UNION ALL SELECT 'k', features[2] FROM parsed WHERE len(features) = 3
+  UNION ALL SELECT 'hour', features[3] FROM parsed WHERE len(features) = 3"""
+    c = drift_ctes(live_long=live, extra={k: v for k, v in _capture_ctes().items() if k != "ef"})
+    cols = ["n_features_drifted", "drift_fraction", "max_psi", "overall_drift_detected",
+            "trigger_retraining", "n_live_samples", "n_baseline_samples"]
+    sel = ", ".join(R(x, x) if x in ("drift_fraction", "max_psi") else x for x in cols)
+    return Q.cte(**c) + f"SELECT {sel} FROM (" + _report_select(
+        "SELECT count(*) FROM parsed", f"WHERE n_live_samples >= {DP.min_samples}") + ")"
+
+
+def drift_check(spark, sf_dir, min_samples: int = DP.min_samples):
+    """K5: captures -> vectors -> F9 gate -> long -> K3 -> K4 (one row, or
+    none when fewer than ``min_samples`` vectors were captured)."""
+    vec = _vectors(spark, sf_dir)
+    base = _baseline(spark, sf_dir)
+    feats = D.drift_features(base, C.vector_to_long(vec, "features", FEATS, ["event_id"]))
+    n_live = vec.agg(F.count(F.lit(1)).alias("n_live_samples"))
+    n_base = base.agg(F.max("n_train_samples").alias("n_baseline_samples"))
+    rep = D.drift_report(feats, n_live, n_base)
+    return rounded(rep.filter(F.col("n_live_samples") >= min_samples))
+
+
+query("drift_check", _check_sql)(drift_check)
+
+
+@query("drift_min_samples", lambda: _check_sql().replace(
+    f"WHERE n_live_samples >= {DP.min_samples}", "WHERE n_live_samples >= 1000000000"))
+def q_drift_min_samples(spark, sf_dir):
+    """the same check with a gate above the captured count -> no report."""
+    return drift_check(spark, sf_dir, min_samples=1_000_000_000)
+
+
+@query("drift_small_sample", lambda: Q.cte(**drift_ctes(live_long=_long(
+    "ef", LIVE_WHERE + " AND event_id % 1000 < 3"))) +
+       _rsel(["feature", "ks_statistic", "ks_p_value", "ks_drifted", "psi", "psi_severity"]))
+def q_drift_small_sample(spark, sf_dir):
+    """a live window this small (< 10 values per feature) gives
+    (D, p, drifted, PSI) = (0, 1, false, 0)."""
+    live = _event_live(spark, sf_dir).filter(F.col("event_id") % 1000 < 3)
+    return rounded(D.drift_features(_baseline(spark, sf_dir), to_long(live, FEATS)))
+
+
+@query("drift_missing_feature", lambda: Q.cte(**drift_ctes(live_long=_long("ef", LIVE_WHERE, ["value", "k"]))) +
+       _rsel(["feature", "ks_statistic", "ks_p_value", "ks_drifted", "psi", "psi_severity"]))
+def q_drift_missing_feature(spark, sf_dir):
+    """a baseline feature absent from the live data is skipped."""
+    live = to_long(_event_live(spark, sf_dir), ["value", "k"])
+    return rounded(D.drift_features(_baseline(spark, sf_dir), live))
+
+
+@query("drift_banner", lambda: Q.cte(**drift_ctes()) + """
+SELECT CASE WHEN overall_drift_detected THEN 'alert' WHEN max_psi > 0.1 THEN 'moderate'
+            ELSE 'stable' END AS banner FROM (""" + _report_select(
+    f"SELECT count(*) FROM ef WHERE {LIVE_WHERE}") + ")")
+def q_drift_banner(spark, sf_dir):
+    """Alert / moderate / stable."""
+    rep = q_drift_report(spark, sf_dir)
+    return rep.select(F.when(F.col("overall_drift_detected"), "alert")
+                      .when(F.col("max_psi") > 0.1, "moderate").otherwise("stable").alias("banner"))

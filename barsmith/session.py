@@ -39,6 +39,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
