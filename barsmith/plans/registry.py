@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from barsmith.functions.numeric import round_half_away
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 _REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -40,11 +42,7 @@ def query(name: str, sql: str | Callable[[], str] | None = None):
     return deco
 
 
-def round_col(c, d: int):
-    """round(x * 10^d) / 10^d: both engines multiply in IEEE double and round
-    the product half away from zero, so exact decimal ties agree."""
-    scale = float(10 ** d)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+round_col = round_half_away
 
 
 def rounded(df: DataFrame, skip=()) -> DataFrame:
