@@ -47,10 +47,11 @@ def min_rows_guard(df: DataFrame, min_rows: int, mode: str = "drop",
 
 
 def feature_matrix(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES, *,
-                   order: str = "date", period: str = "month") -> DataFrame:
+                   order: str = "date", period: str = "month", keep=()) -> DataFrame:
     """Bars -> ``ticker, date, <features>, target``; complete rows only,
-    series with at least ``params.min_rows`` rows."""
+    series with at least ``params.min_rows`` rows.  ``keep``: extra bar
+    columns to carry (e.g. ``close`` for the backtest)."""
     ind = compute_indicators(bars, params, ALL, order=order, period=period)
-    cols = ["ticker", order, *params.feature_names(), "target"]
+    cols = ["ticker", order, *keep, *params.feature_names(), "target"]
     fm = complete_cases(ind.select(*cols))
     return min_rows_guard(fm, params.min_rows, params.min_rows_mode)

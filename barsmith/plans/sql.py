@@ -133,8 +133,15 @@ def feature_ctes(bars: str = BARS_D) -> dict[str, str]:
         "ewm": ewm_recursive("bn"),
         "ind": indicators_sql("bn", "ewm"),
         "feat": FEATURES_DERIVED,
-        "fm0": f"  SELECT ticker, date, {feats}, target FROM feat WHERE {notnull}",
+        "fm0": f"  SELECT ticker, date, close, {feats}, target FROM feat WHERE {notnull}",
         "fm": f"""
   SELECT * FROM fm0 WHERE ticker IN
     (SELECT ticker FROM fm0 GROUP BY ticker HAVING count(*) >= {P.min_rows})""",
     }
+
+
+def bday_sql(d: str, n: int) -> str:
+    """DuckDB twin of :func:`barsmith.functions.dates.bday_add` (isodow Mon=1)."""
+    if n == 1:
+        return f"({d} + CASE isodow({d}) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END)"
+    return f"({d} - CASE isodow({d}) WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END)"
