@@ -66,12 +66,15 @@ def _psi_bin(x: Column, edges: Column) -> Column:
 
 
 def drift_features(baseline: DataFrame, live_long: DataFrame,
-                   params: DriftParams = DEFAULT_DRIFT) -> DataFrame:
+                   params: DriftParams = DEFAULT_DRIFT, by=()) -> DataFrame:
     """K3: per feature ks_statistic, ks_p_value, ks_drifted, psi, psi_severity.
 
-    ``live_long``: (feature, value).  Features absent from the live data
-    are skipped (F7); NULL live values are dropped per feature (F8).
+    ``live_long``: (by..., feature, value) — ``by`` keys (e.g. a time
+    window) give one result per (key, feature) from the same single
+    aggregation.  Features absent from the live data are skipped (F7);
+    NULL live values are dropped per feature (F8).
     """
+    by = list(by)
     mid = baseline_midpoints(baseline)
     edges = psi_edges(mid, params)
     # one row per feature (bounded by the schema): broadcast to the live rows
@@ -79,13 +82,13 @@ def drift_features(baseline: DataFrame, live_long: DataFrame,
     live = live_long.filter(F.col("value").isNotNull()).join(ref, "feature")
     x = F.col("value")
     slots = live.select(
-        "feature",
+        *by, "feature",
         F.size(F.filter("mids", lambda m: m < x)).alias("j"),
         F.exists("mids", lambda m: m == x).alias("eq"),
         _psi_bin(x, F.col("edges")).alias("b"),
-    ).groupBy("feature", "j", "eq", "b").agg(F.count(F.lit(1)).alias("c"))
+    ).groupBy(*by, "feature", "j", "eq", "b").agg(F.count(F.lit(1)).alias("c"))
 
-    per = slots.groupBy("feature").agg(
+    per = slots.groupBy(*by, "feature").agg(
         F.collect_list(F.struct("j", "eq", "b", "c")).alias("s"),   # <= 2*21*11 slots
         F.sum("c").alias("n_l"))
     d = per.join(ref, "feature")
@@ -145,13 +148,13 @@ def drift_features(baseline: DataFrame, live_long: DataFrame,
     psi = F.when(small | (F.size("edges") < 2) | F.col("edges").isNull(), F.lit(0.0)).otherwise(psi_raw)
 
     out = d.select(
-        "feature",
+        *by, "feature",
         ks_stat.alias("ks_statistic"),
         ks_p.alias("ks_p_value"),
         psi.alias("psi"),
     )
     return out.select(
-        "feature", "ks_statistic", "ks_p_value",
+        *by, "feature", "ks_statistic", "ks_p_value",
         (F.col("ks_p_value") < params.ks_alpha).alias("ks_drifted"),
         "psi", psi_severity(F.col("psi"), params).alias("psi_severity"))
 
@@ -163,22 +166,24 @@ def psi_severity(psi: Column, params: DriftParams = DEFAULT_DRIFT) -> Column:
 
 
 def drift_report(features: DataFrame, n_live: DataFrame, n_baseline: DataFrame,
-                 params: DriftParams = DEFAULT_DRIFT) -> DataFrame:
-    """One row.  ``n_live`` / ``n_baseline``: one-row frames with
-    ``n_live_samples`` / ``n_baseline_samples``."""
-    agg = features.agg(
+                 params: DriftParams = DEFAULT_DRIFT, by=()) -> DataFrame:
+    """One row (per ``by`` key).  ``n_live``: (by..., n_live_samples);
+    ``n_baseline``: one row with ``n_baseline_samples``."""
+    by = list(by)
+    agg = features.groupBy(*by).agg(
         F.count_if("ks_drifted").alias("n_features_drifted"),
         F.count(F.lit(1)).alias("_nf"),
         F.max("psi").alias("_max_psi"))
     frac = F.when(F.col("_nf") > 0, F.col("n_features_drifted") / F.col("_nf")).otherwise(F.lit(0.0))
     r = agg.select(
-        "n_features_drifted",
+        *by, "n_features_drifted",
         frac.alias("drift_fraction"),
         F.coalesce("_max_psi", F.lit(0.0)).alias("max_psi"))
     r = r.withColumn("overall_drift_detected", F.col("drift_fraction") >= params.drift_fraction_threshold)
     r = r.withColumn("trigger_retraining",
                      (F.col("max_psi") >= params.psi_investigate) | F.col("overall_drift_detected"))
-    return r.crossJoin(n_live).crossJoin(n_baseline)
+    r = r.join(n_live, by) if by else r.crossJoin(n_live)
+    return r.crossJoin(n_baseline)
 
 
 def report_json(report: DataFrame, features: DataFrame, ts: Column) -> DataFrame:

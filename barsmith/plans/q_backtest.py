@@ -12,7 +12,7 @@ from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
 from barsmith.sources.bars import daily_bars
 
-# Fixed backtest window (the last year of the TPC-H ship dates).
+# Fixed backtest window (one year inside the 1995-2001 ship-date range).
 START, END = "1998-01-01", "1998-12-31"
 VERSION = "naive-mean"
 LO = Q.bday_sql(f"DATE '{START}'", -1)
