@@ -120,19 +120,21 @@ def drift_metrics_long(report: DataFrame, features: DataFrame, ticker: str = "AL
     """6 report metrics + 2 per feature, dims ``map(Ticker[, Feature])``."""
     ts = ts if ts is not None else F.current_timestamp()
     dims = F.create_map(F.lit("Ticker"), F.lit(ticker))
+    def row(name, value, unit):
+        return F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), F.lit(unit).alias("unit"))
+
     rep = report.select(F.inline(F.array(
-        F.struct(F.lit("Overall_Drift_Score").alias("name"), F.col("drift_fraction").cast("double").alias("value"),
-                 F.lit("None").alias("unit")),
-        F.struct(F.lit("Max_PSI"), F.col("max_psi").cast("double"), F.lit("None")),
-        F.struct(F.lit("Drift_Triggered"), F.col("overall_drift_detected").cast("double"), F.lit("None")),
-        F.struct(F.lit("Retrain_Triggered"), F.col("trigger_retraining").cast("double"), F.lit("None")),
-        F.struct(F.lit("N_Features_Drifted"), F.col("n_features_drifted").cast("double"), F.lit("Count")),
-        F.struct(F.lit("Live_Sample_Count"), F.col("n_live_samples").cast("double"), F.lit("Count")),
+        row("Overall_Drift_Score", F.col("drift_fraction"), "None"),
+        row("Max_PSI", F.col("max_psi"), "None"),
+        row("Drift_Triggered", F.col("overall_drift_detected"), "None"),
+        row("Retrain_Triggered", F.col("trigger_retraining"), "None"),
+        row("N_Features_Drifted", F.col("n_features_drifted"), "Count"),
+        row("Live_Sample_Count", F.col("n_live_samples"), "Count"),
     ))).select(ts.alias("ts"), "name", dims.alias("dims"), "value", "unit")
     fdims = F.create_map(F.lit("Ticker"), F.lit(ticker), F.lit("Feature"), F.col("feature"))
     feat = features.select(fdims.alias("dims"), F.inline(F.array(
         F.struct(F.lit("Feature_PSI").alias("name"), F.col("psi").alias("value")),
-        F.struct(F.lit("Feature_KS_Statistic"), F.col("ks_statistic"))))) \
+        F.struct(F.lit("Feature_KS_Statistic").alias("name"), F.col("ks_statistic").alias("value"))))) \
         .select(ts.alias("ts"), "name", "dims", "value", F.lit("None").alias("unit"))
     return rep.unionByName(feat)
 
@@ -142,10 +144,11 @@ def model_metrics_long(metrics: DataFrame, ticker: Column, version: Column,
     """RMSE, MAE, DirectionalAccuracy rows with (Ticker, ModelVersion) dims."""
     ts = ts if ts is not None else F.current_timestamp()
     dims = F.create_map(F.lit("Ticker"), ticker, F.lit("ModelVersion"), version)
+    def row(name, c):
+        return F.struct(F.lit(name).alias("name"), F.col(c).cast("double").alias("value"))
+
     return metrics.select(ts.alias("ts"), dims.alias("dims"), F.inline(F.array(
-        F.struct(F.lit("RMSE").alias("name"), F.col("rmse").alias("value")),
-        F.struct(F.lit("MAE"), F.col("mae")),
-        F.struct(F.lit("DirectionalAccuracy"), F.col("directional_accuracy")))))
+        row("RMSE", "rmse"), row("MAE", "mae"), row("DirectionalAccuracy", "directional_accuracy"))))
 
 
 # ---- J4 / K6 / U2 history append ---------------------------------------------------------

@@ -104,33 +104,40 @@ def baseline_ctes() -> dict[str, str]:
     }
 
 
-def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None) -> dict[str, str]:
-    """KS / PSI by brute force over the expanded baseline samples."""
+def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None,
+               keys=()) -> dict[str, str]:
+    """KS / PSI by brute force over the expanded baseline samples; ``keys``
+    are extra grouping columns of ``live_long`` (e.g. a window end)."""
     c = baseline_ctes()
     c.update(extra or {})
     c["live_long"] = live_long or _long("ef", LIVE_WHERE)
     probs = "[" + ", ".join(_fl(p) for p in PSI_PROBS) + "]"
+    k = "".join(f"{x}, " for x in keys)                 # "w, " or ""
+    kq = lambda a: "".join(f"{a}.{x}, " for x in keys)
+    kon = lambda a, b: "".join(f" AND {a}.{x} = {b}.{x}" for x in keys)
+    part = f"PARTITION BY {k}feature"
     c.update({
         "pairs": f"""
   SELECT feature, (bin_edges[i] + bin_edges[i + 1]) / CAST(2 AS DOUBLE) AS m, counts[i] AS c
   FROM bstats, range(1, {DP.hist_bins + 1}) t(i)""",
         "samp": "  SELECT p.feature, p.m FROM pairs p JOIN range(0, 10000000) n(j) ON n.j < p.c",
-        "lv": "  SELECT feature, v FROM live_long WHERE v IS NOT NULL AND feature IN (SELECT feature FROM bstats)",
-        "pts": """
-  SELECT feature, m AS x, 1 AS ib, 0 AS il FROM samp
-  UNION ALL SELECT feature, v, 0, 1 FROM lv""",
-        "pagg": "  SELECT feature, x, sum(ib) AS cb, sum(il) AS cl FROM pts GROUP BY feature, x",
-        "cdf": """
-  SELECT feature,
+        "lv": f"  SELECT {k}feature, v FROM live_long WHERE v IS NOT NULL AND feature IN (SELECT feature FROM bstats)",
+        "kset": f"  SELECT DISTINCT {k}feature FROM lv",
+        "pts": f"""
+  SELECT {kq('q')}s.feature, s.m AS x, 1 AS ib, 0 AS il FROM samp s JOIN kset q ON s.feature = q.feature
+  UNION ALL SELECT {k}feature, v, 0, 1 FROM lv""",
+        "pagg": f"  SELECT {k}feature, x, sum(ib) AS cb, sum(il) AS cl FROM pts GROUP BY {k}feature, x",
+        "cdf": f"""
+  SELECT {k}feature,
          sum(cb) OVER w AS sb, sum(cl) OVER w AS sl,
-         CAST(sum(cb) OVER (PARTITION BY feature) AS DOUBLE) AS nb,
-         CAST(sum(cl) OVER (PARTITION BY feature) AS DOUBLE) AS nl
-  FROM pagg WINDOW w AS (PARTITION BY feature ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-        "ks0": """
-  SELECT feature, max(abs(sb / nb - sl / nl)) AS d, any_value(nb) AS nb, any_value(nl) AS nl
-  FROM cdf GROUP BY feature""",
+         CAST(sum(cb) OVER ({part}) AS DOUBLE) AS nb,
+         CAST(sum(cl) OVER ({part}) AS DOUBLE) AS nl
+  FROM pagg WINDOW w AS ({part} ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "ks0": f"""
+  SELECT {k}feature, max(abs(sb / nb - sl / nl)) AS d, any_value(nb) AS nb, any_value(nl) AS nl
+  FROM cdf GROUP BY {k}feature""",
         "ks": f"""
-  SELECT feature, d, nb, nl,
+  SELECT {k}feature, d, nb, nl,
          (sqrt(nb * nl / (nb + nl)) + 0.12 + 0.11 / sqrt(nb * nl / (nb + nl))) * d AS lam
   FROM ks0 WHERE nl > 0""",
         "ksp": """
@@ -144,28 +151,31 @@ def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None
   SELECT s.feature, len(list_filter(e.e[1:len(e.e) - 1], lambda q: q <= s.m)) - 1 AS bin
   FROM samp s JOIN edges e ON s.feature = e.feature
   WHERE len(e.e) >= 2 AND s.m >= e.e[1] AND s.m <= e.e[len(e.e)]""",
-        "lbin": """
-  SELECT s.feature, len(list_filter(e.e[1:len(e.e) - 1], lambda q: q <= s.v)) - 1 AS bin
+        "lbin": f"""
+  SELECT {kq('s')}s.feature, len(list_filter(e.e[1:len(e.e) - 1], lambda q: q <= s.v)) - 1 AS bin
   FROM lv s JOIN edges e ON s.feature = e.feature
   WHERE len(e.e) >= 2 AND s.v >= e.e[1] AND s.v <= e.e[len(e.e)]""",
-        "bgrid": "  SELECT feature, unnest(range(len(e) - 1)) AS bin FROM edges WHERE len(e) >= 2",
+        "bgrid": f"""
+  SELECT {kq('q')}q.feature, unnest(range(len(e.e) - 1)) AS bin
+  FROM edges e JOIN kset q ON e.feature = q.feature WHERE len(e.e) >= 2""",
         "psi0": f"""
-  SELECT g.feature,
+  SELECT {kq('g')}g.feature,
     sum((greatest(coalesce(lc.c, 0) / k.nl, {DP.psi_clip!r}) - greatest(coalesce(bc.c, 0) / k.nb, {DP.psi_clip!r}))
         * ln(greatest(coalesce(lc.c, 0) / k.nl, {DP.psi_clip!r}) / greatest(coalesce(bc.c, 0) / k.nb, {DP.psi_clip!r})))
       AS psi
-  FROM bgrid g JOIN ks0 k ON g.feature = k.feature
+  FROM bgrid g JOIN ks0 k ON g.feature = k.feature{kon('g', 'k')}
   LEFT JOIN (SELECT feature, bin, count(*) AS c FROM bbin GROUP BY ALL) bc ON g.feature = bc.feature AND g.bin = bc.bin
-  LEFT JOIN (SELECT feature, bin, count(*) AS c FROM lbin GROUP BY ALL) lc ON g.feature = lc.feature AND g.bin = lc.bin
-  GROUP BY g.feature""",
+  LEFT JOIN (SELECT {k}feature, bin, count(*) AS c FROM lbin GROUP BY ALL) lc
+    ON g.feature = lc.feature AND g.bin = lc.bin{kon('g', 'lc')}
+  GROUP BY {kq('g')}g.feature""",
         "dfeat": f"""
-  SELECT k.feature,
+  SELECT {kq('k')}k.feature,
     CASE WHEN k.nl < {DP.min_feature_samples} THEN 0.0 ELSE k.d END AS ks_statistic,
     CASE WHEN k.nl < {DP.min_feature_samples} THEN 1.0 ELSE k.p END AS ks_p_value,
     CASE WHEN k.nl < {DP.min_feature_samples} THEN 0.0 ELSE coalesce(p.psi, 0.0) END AS psi
-  FROM ksp k LEFT JOIN psi0 p ON k.feature = p.feature""",
+  FROM ksp k LEFT JOIN psi0 p ON k.feature = p.feature{kon('k', 'p')}""",
         "drift": f"""
-  SELECT feature, ks_statistic, ks_p_value, ks_p_value < {DP.ks_alpha} AS ks_drifted, psi,
+  SELECT {k}feature, ks_statistic, ks_p_value, ks_p_value < {DP.ks_alpha} AS ks_drifted, psi,
     CASE WHEN psi < {DP.psi_stable} THEN 'stable' WHEN psi < {DP.psi_investigate} THEN 'investigate'
          ELSE 'severe' END AS psi_severity
   FROM dfeat""",
@@ -173,6 +183,23 @@ def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None
     return c
 
 
+def report_rows_sql(keys, n_live_src: str) -> str:
+    """Per-key report rows (A8) from the ``drift`` CTE; ``n_live_src`` is a
+    relation (keys..., n_live_samples)."""
+    k = "".join(f"d.{x}, " for x in keys)
+    on = " AND ".join(f"d.{x} = n.{x}" for x in keys)
+    return f"""
+SELECT {k}n_features_drifted, drift_fraction, max_psi,
+       drift_fraction >= {DP.drift_fraction_threshold} AS overall_drift_detected,
+       (max_psi >= {DP.psi_investigate}) OR (drift_fraction >= {DP.drift_fraction_threshold}) AS trigger_retraining,
+       n.n_live_samples, (SELECT any_value(n_train_samples) FROM bstats) AS n_baseline_samples
+FROM (
+  SELECT {"".join(f"{x}, " for x in keys)}count(*) FILTER (WHERE ks_drifted) AS n_features_drifted,
+         count(*) FILTER (WHERE ks_drifted) / count(*) AS drift_fraction,
+         coalesce(max(psi), 0.0) AS max_psi
+  FROM drift GROUP BY {", ".join(keys)}) d JOIN {n_live_src} n ON {on}"""
+
+
 def _report_select(n_live_sql: str, gate: str = "") -> str:
     return f"""
 SELECT n_features_drifted, drift_fraction, max_psi,
