@@ -65,33 +65,49 @@ def _psi_bin(x: Column, edges: Column) -> Column:
     return F.when((ne >= 2) & inside, idx)
 
 
-def drift_features(baseline: DataFrame, live_long: DataFrame,
-                   params: DriftParams = DEFAULT_DRIFT, by=()) -> DataFrame:
-    """K3: per feature ks_statistic, ks_p_value, ks_drifted, psi, psi_severity.
+def drift_reference(baseline: DataFrame, params: DriftParams = DEFAULT_DRIFT) -> DataFrame:
+    """(feature, mids, counts, n_b, edges): one row per baseline feature."""
+    mid = baseline_midpoints(baseline)
+    return mid.join(psi_edges(mid, params), "feature", "left")
 
-    ``live_long``: (by..., feature, value) — ``by`` keys (e.g. a time
-    window) give one result per (key, feature) from the same single
-    aggregation.  Features absent from the live data are skipped (F7);
-    NULL live values are dropped per feature (F8).
-    """
+
+def live_slot_counts(ref: DataFrame, live_long: DataFrame, by=()) -> DataFrame:
+    """Live side of K1/K2 as ONE mergeable aggregation (also a valid
+    streaming aggregation): counts per (by..., feature, j, eq, b) where j =
+    mid-points below the value, eq = value equals a mid-point, b = PSI bin."""
     by = list(by)
-    mid = baseline_midpoints(baseline)
-    edges = psi_edges(mid, params)
     # one row per feature (bounded by the schema): broadcast to the live rows
-    ref = F.broadcast(mid.join(edges, "feature", "left"))
-    live = live_long.filter(F.col("value").isNotNull()).join(ref, "feature")
+    live = live_long.filter(F.col("value").isNotNull()).join(F.broadcast(ref), "feature")
     x = F.col("value")
-    slots = live.select(
+    return live.select(
         *by, "feature",
         F.size(F.filter("mids", lambda m: m < x)).alias("j"),
         F.exists("mids", lambda m: m == x).alias("eq"),
         _psi_bin(x, F.col("edges")).alias("b"),
     ).groupBy(*by, "feature", "j", "eq", "b").agg(F.count(F.lit(1)).alias("c"))
 
+
+def drift_features(baseline: DataFrame, live_long: DataFrame,
+                   params: DriftParams = DEFAULT_DRIFT, by=()) -> DataFrame:
+    """K3: per feature ks_statistic, ks_p_value, ks_drifted, psi, psi_severity.
+
+    ``live_long``: (by..., feature, value) — ``by`` keys (e.g. a time
+    window) give one result per (key, feature) from the same single
+    aggregation.  Features absent from the live data are skipped (F7);
+    NULL live values are dropped per feature (F8).
+    """
+    ref = drift_reference(baseline, params)
+    return drift_from_slots(live_slot_counts(ref, live_long, by), ref, params, by)
+
+
+def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEFAULT_DRIFT,
+                     by=()) -> DataFrame:
+    """KS / PSI / severity from live slot counts (small) and the reference."""
+    by = list(by)
     per = slots.groupBy(*by, "feature").agg(
         F.collect_list(F.struct("j", "eq", "b", "c")).alias("s"),   # <= 2*21*11 slots
         F.sum("c").alias("n_l"))
-    d = per.join(ref, "feature")
+    d = per.join(F.broadcast(ref), "feature")
 
     # ---- KS over the K mid-points --------------------------------------------
     K = F.size("mids")

@@ -133,22 +133,24 @@ def ewm(x: Column, alpha: float, by: list[str], *, seed_ord: int = 0) -> Column:
 
 
 def running_sum(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
-    """Exact unbounded cumulative sum of column ``x`` over each series.
+    """Exact unbounded cumulative sum of column ``x`` over each series."""
+    return running_sums(df, {x: out}, by)
 
-    ``df`` must be home rows of a blocked layout with ``x`` computed.
-    Block totals form a table of (rows / block) entries; their running
-    sum is the carry added to the in-block cumulative sum.
+
+def running_sums(df: DataFrame, cols: dict[str, str], by: list[str]) -> DataFrame:
+    """Exact unbounded cumulative sums (``{input: output}``) over each series.
+
+    ``df`` must be home rows of a blocked layout.  Block totals form a table
+    of (rows / block) entries; their running sum is the carry added to the
+    in-block cumulative sum (one small aggregation + one join for all
+    columns).
     """
-    tot = df.groupBy(*by, BLK).agg(F.sum(F.coalesce(F.col(x), F.lit(0.0))).alias("_t"))
-    carry = tot.select(
-        *by, BLK,
-        F.coalesce(
-            F.sum("_t").over(Window.partitionBy(*by).orderBy(BLK)
-                             .rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0.0)).alias("_carry"),
-    )
-    local = F.sum(F.coalesce(F.col(x), F.lit(0.0))).over(cumulative(by))
-    d = df.withColumn("_local", local)
-    return (d.join(carry, [*by, BLK], "left")
-             .withColumn(out, F.col("_carry") + F.col("_local"))
-             .drop("_carry", "_local"))
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    tot = df.groupBy(*by, BLK).agg(*[F.sum(z(x)).alias(f"_t_{o}") for x, o in cols.items()])
+    wb = Window.partitionBy(*by).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = tot.select(*by, BLK, *[F.coalesce(F.sum(f"_t_{o}").over(wb), F.lit(0.0)).alias(f"_c_{o}")
+                                   for o in cols.values()])
+    d = df.select("*", *[F.sum(z(x)).over(cumulative(by)).alias(f"_l_{o}") for x, o in cols.items()])
+    d = d.join(carry, [*by, BLK], "left")
+    return d.select(*[c for c in d.columns if not c.startswith(("_l_", "_c_"))],
+                    *[(F.col(f"_c_{o}") + F.col(f"_l_{o}")).alias(o) for o in cols.values()])

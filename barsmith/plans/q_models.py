@@ -1 +1,143 @@
-"""Queries (filled in below)."""
+"""Queries: Spark ML models and evaluation (L1-L10, A14, S20, W16) — rows-only
+checks (model fits have no SQL twin), except the naive parts elsewhere."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from barsmith.functions.dates import version_tag
+from barsmith.operators import models as M
+from barsmith.operators import splits as SP
+from barsmith.operators.metrics import compute_metrics, cv_average, naive_mean
+from barsmith.operators.scaling import apply_scaler
+from barsmith.plans.registry import query, rounded
+from barsmith.session import materialize
+from barsmith.sources.bars import daily_bars
+
+GBT_ITERS = 20        # the reference uses 500 with early stopping; kept small for the checks
+
+
+def _split(spark, sf_dir):
+    """The split feature matrix, materialised once: every model fit and
+    metric below reads it instead of recomputing the features."""
+    from barsmith.plans.q_splits import _fm
+    return materialize(SP.three_way_split(_fm(spark, sf_dir)), "split")
+
+
+@query("model_ols")
+def q_model_ols(spark, sf_dir):
+    """L1: OLS fitted on train, A6 on validation and test."""
+    d = _split(spark, sf_dir)
+    m = M.fit_linear(d.filter(F.col("split") == "train"))
+    return rounded(compute_metrics(m.transform(d.filter(F.col("split") != "train")), by=["split"]))
+
+
+@query("model_ridge")
+def q_model_ridge(spark, sf_dir):
+    """L2: ridge (alpha 1) on population-standardised features."""
+    d = _split(spark, sf_dir)
+    scaler, m = M.fit_ridge(d.filter(F.col("split") == "train"), 1.0)
+    scored = m.transform(apply_scaler(d.filter(F.col("split") != "train"), scaler, M.FEATS))
+    return rounded(compute_metrics(scored, by=["split"]))
+
+
+def _tv_folds(spark, sf_dir, d=None):
+    d = d if d is not None else _split(spark, sf_dir)
+    tv = d.filter(F.col("split") != "test").drop("split")
+    return materialize(SP.walk_forward_folds(tv), "folds")
+
+
+@query("baseline_eval")
+def q_baseline_eval(spark, sf_dir):
+    """L3: per model (naive mean, OLS, ridge): fold rows, the cv_avg row, the test row."""
+    d = _split(spark, sf_dir)
+    folds = _tv_folds(spark, sf_dir, d)
+    train, test = d.filter(F.col("split") != "test"), d.filter(F.col("split") == "test")
+    out = []
+    # naive mean
+    means = folds.filter(F.col("role") == "train").groupBy("fold").agg(F.avg("target").alias("prediction"))
+    nf = compute_metrics(folds.filter(F.col("role") == "val").join(F.broadcast(means), "fold"), by=["fold"])
+    nt = compute_metrics(test.crossJoin(F.broadcast(naive_mean(train))))
+    out.append(("naive_mean", nf, nt))
+    of = M.cv_linear(folds)
+    ot = compute_metrics(M.fit_linear(train).transform(test))
+    out.append(("ols", of, ot))
+    rf = M.cv_linear(folds, alpha=1.0)
+    scaler, rm = M.fit_ridge(train, 1.0)
+    rt = compute_metrics(rm.transform(apply_scaler(test, scaler, M.FEATS)))
+    out.append(("ridge", rf, rt))
+    res = None
+    for name, f, t in out:
+        rows = (f.withColumn("split", F.concat(F.lit("fold_"), F.col("fold").cast("string"))).drop("fold")
+                 .unionByName(cv_average(f.withColumn("split", F.lit("cv_avg")), ["split"]))
+                 .unionByName(t.withColumn("split", F.lit("test")))
+                 .withColumn("model", F.lit(name)))
+        res = rows if res is None else res.unionByName(rows)
+    return rounded(res)
+
+
+@query("model_gbt")
+def q_model_gbt(spark, sf_dir):
+    """L4 re-aim: boosted trees (squared error), early stopping on the val split."""
+    full = _split(spark, sf_dir)
+    d = full.filter(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    m = M.fit_gbt(d, max_iter=GBT_ITERS, validation_col="is_val")
+    test = full.filter(F.col("split") == "test")
+    return rounded(compute_metrics(m.transform(test)).withColumn("model", F.lit("gbt")))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """Top-10 importances of the boosted model."""
+    d = _split(spark, sf_dir).filter(F.col("split") == "train")
+    m = M.fit_gbt(d, max_iter=GBT_ITERS)
+    top = M.top_importances(m)
+    return rounded(spark.createDataFrame(top, "feature string, importance double"))
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Score the test split with the OLS model (p50 + fallback band)."""
+    d = _split(spark, sf_dir)
+    m = M.fit_linear(d.filter(F.col("split") == "train"))
+    return M.score(m, d.filter(F.col("split") == "test"), "stock-model-ols")
+
+
+@query("model_cv")
+def q_model_cv(spark, sf_dir):
+    """Walk-forward CV of OLS, averaged."""
+    f = M.cv_linear(_tv_folds(spark, sf_dir))
+    return rounded(cv_average(f.withColumn("model", F.lit("ols")), ["model"]))
+
+
+@query("param_search")
+def q_param_search(spark, sf_dir):
+    """L9 re-aim: seeded random ridge strengths x folds; best by mean RMSE."""
+    rows, best = M.param_search(_tv_folds(spark, sf_dir), n_trials=4)
+    return rounded(rows.crossJoin(best))
+
+
+@query("train_summary")
+def q_train_summary(spark, sf_dir):
+    """One-row run artefact (cv + test metrics, top-10 importances,
+    version, row counts) and its JSON form."""
+    d = _split(spark, sf_dir)
+    counts = d.groupBy().pivot("split", ["train", "val", "test"]).count()
+    train = d.filter(F.col("split") == "train")
+    m = M.fit_linear(train)
+    test = compute_metrics(m.transform(d.filter(F.col("split") == "test")))
+    cv = cv_average(M.cv_linear(_tv_folds(spark, sf_dir, d)).withColumn("k", F.lit(1)), ["k"]).drop("k")
+    version = F.concat(F.lit("stock-model-"), version_tag(F.lit(dt.datetime(2024, 1, 31)).cast("timestamp")))
+    s = (test.select(F.struct(*test.columns).alias("test_metrics"))
+         .crossJoin(cv.select(F.struct(*cv.columns).alias("cv_metrics")))
+         .crossJoin(counts.select(F.struct("train", "val", "test").alias("n_rows")))
+         .select(version.alias("model_version"), "cv_metrics", "test_metrics", "n_rows"))
+    return s.withColumn("json", F.to_json(F.struct(*s.columns)))
+
+
+@query("ar2_forecast")
+def q_ar2_forecast(spark, sf_dir):
+    """W16 re-aim: walk-forward AR(2) one-step forecasts of the close."""
+    return rounded(M.ar2_forecast(daily_bars(spark, sf_dir)))

@@ -65,3 +65,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a recomputation after an executor loss starts
+    here) and lets several jobs reuse one result."""
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
