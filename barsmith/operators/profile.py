@@ -19,9 +19,10 @@ PCTS = {0.05: "p5", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95"}
 
 
 def to_long(df: DataFrame, features: list[str], ids: list[str] | None = None) -> DataFrame:
-    """Wide feature columns -> ``(ids..., feature, value)`` (nulls kept)."""
-    return df.unpivot(ids or [], [F.col(c).cast("double").alias(c) for c in features],
-                      "feature", "value")
+    """Wide feature columns -> ``(ids..., feature, value)`` (nulls kept;
+    NaN becomes NULL, the pandas-boundary rule: pandas ``dropna`` drops it)."""
+    vals = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in features]
+    return df.select(*(ids or []), *vals).unpivot(ids or [], features, "feature", "value")
 
 
 def hist_edges(lo: Column, hi: Column, bins: int) -> Column:
