@@ -13,7 +13,7 @@ live data and also runs as a streaming aggregate:
   with the Stephens small-sample correction (deviates slightly from an
   exact p for small samples).
 * PSI: edges = distinct linear percentiles 0,10..100 of the weighted
-  mid-points (exact weighted ``percentile`` over <= 20 values); live
+  mid-points (exact weighted ranks over <= 20 values); live
   values outside the edges count in the denominator only.
 """
 
@@ -48,13 +48,14 @@ def psi_edges(mids: DataFrame, params: DriftParams = DEFAULT_DRIFT) -> DataFrame
     def at(r: Column) -> Column:        # value of the r-th (0-based) sample
         return F.element_at("mids", F.size(F.filter("_cum", lambda c: c <= r)) + 1)
 
-    def q(p: float) -> Column:
-        h = (F.col("n_b") - 1).cast("double") * F.lit(p)
+    def q(p: Column) -> Column:
+        h = (F.col("n_b") - 1).cast("double") * p
         lo, hi = F.floor(h), F.ceil(h)
         return at(lo) + (at(hi) - at(lo)) * (h - lo)
 
     d = mids.filter(F.col("n_b") > 0).withColumn("_cum", cum)
-    return d.select("feature", F.array_distinct(F.array(*[q(p) for p in probs])).alias("edges"))
+    ps = F.array(*[F.lit(p) for p in probs])
+    return d.select("feature", F.array_distinct(F.transform(ps, q)).alias("edges"))
 
 
 def _psi_bin(x: Column, edges: Column) -> Column:
@@ -125,13 +126,17 @@ def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEF
         return F.aggregate(F.filter("s", lambda t: (t["j"] == k - 1) & t["eq"]),
                            F.lit(0).cast("long"), lambda a, t: a + t["c"])
 
-    d = d.withColumn("_cb", cum_b)
+    seq = F.sequence(F.lit(1), K)
+    d = (d.withColumn("_cb", cum_b)
+          .withColumn("_lle", F.transform(seq, live_le))
+          .withColumn("_leq", F.transform(seq, live_eq)))
+    el = F.element_at
     gaps = F.transform(
-        F.sequence(F.lit(1), K),
+        seq,
         lambda k: F.greatest(
-            F.abs(F.element_at("_cb", k) / nb - live_le(k) / nl),
-            F.abs(F.coalesce(F.element_at("_cb", F.greatest(k - 1, F.lit(1))) * (k > 1).cast("long"),
-                             F.lit(0)) / nb - (live_le(k) - live_eq(k)) / nl)))
+            F.abs(el("_cb", k) / nb - el("_lle", k) / nl),
+            F.abs(F.when(k > 1, el("_cb", F.greatest(k - 1, F.lit(1)))).otherwise(F.lit(0)) / nb
+                  - (el("_lle", k) - el("_leq", k)) / nl)))
     D = F.array_max(gaps)
     en = nb * nl / (nb + nl)
     lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * D

@@ -50,8 +50,20 @@ def feature_matrix(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES, *,
                    order: str = "date", period: str = "month", keep=()) -> DataFrame:
     """Bars -> ``ticker, date, <features>, target``; complete rows only,
     series with at least ``params.min_rows`` rows.  ``keep``: extra bar
-    columns to carry (e.g. ``close`` for the backtest)."""
-    ind = compute_indicators(bars, params, ALL, order=order, period=period)
-    cols = ["ticker", order, *keep, *params.feature_names(), "target"]
-    fm = complete_cases(ind.select(*cols))
-    return min_rows_guard(fm, params.min_rows, params.min_rows_mode)
+    columns to carry (e.g. ``close`` for the backtest).
+
+    The complete-row count per series comes from the same per-block table
+    as the OBV carry (one small aggregation + one join serve both), so F3
+    needs no second pass over the features."""
+    feats = [*params.feature_names(), "target"]
+    ind = compute_indicators(bars, params, ALL, order=order, period=period, complete_cols=feats)
+    cols = ["ticker", order, *keep, *feats]
+    fm = complete_cases(ind, subset=feats)
+    if params.min_rows_mode == "fail":
+        short = fm.filter(F.col("n_complete_") < params.min_rows).select("ticker", "n_complete_") \
+            .limit(1).collect()
+        if short:
+            raise ValueError(f"{short[0][0]}: only {int(short[0][1])} rows after dropna, "
+                             f"need >= {params.min_rows}")
+        return fm.select(*cols)
+    return fm.filter(F.col("n_complete_") >= params.min_rows).select(*cols)

@@ -58,8 +58,12 @@ def layout_needs(p: FeatureParams, include) -> tuple[int, int, list[float]]:
 
 def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES,
                        include=ALL, *, by=("ticker",), order: str = "date",
-                       period: str = "month", keep_ordinal: bool = False) -> DataFrame:
-    """Bars -> bars + requested indicator columns (one row per input bar)."""
+                       period: str = "month", keep_ordinal: bool = False,
+                       complete_cols=None) -> DataFrame:
+    """Bars -> bars + requested indicator columns (one row per input bar).
+
+    ``complete_cols``: also add ``n_complete_`` = rows of the series where
+    all these columns are non-null (from the same block table as OBV)."""
     p = params
     inc = set(include)
     by = list(by)
@@ -143,10 +147,20 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
         d = d.withColumn("vwap_dev", _div(c - vwap, vwap))
 
     d = d.filter(F.col(S.HOME))
+    sums, totals = {}, {}
     if "obv" in inc:
         # cumsum(sign(diff) * volume); first row 0 (sign NaN -> 0)
         d = d.withColumn("_obv_x", F.coalesce(F.signum(F.col("_d1")), F.lit(0.0)) * v)
-        d = S.running_sum(d, "_obv_x", "obv", by)
+        sums["_obv_x"] = "obv"
+    if complete_cols:
+        ok = F.lit(True)
+        for name in complete_cols:
+            if name != "obv":                   # never NULL
+                ok = ok & F.col(name).isNotNull()
+        d = d.withColumn("_complete_x", ok.cast("double"))
+        totals["_complete_x"] = "n_complete_"
+    if sums or totals:
+        d = S.running_sums(d, sums, by, totals)
 
     drop = [x for x in d.columns if x.startswith("_") and not (keep_ordinal and x == S.ORD)]
     return d.drop(*drop)

@@ -137,19 +137,23 @@ def running_sum(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
     return running_sums(df, {x: out}, by)
 
 
-def running_sums(df: DataFrame, cols: dict[str, str], by: list[str]) -> DataFrame:
+def running_sums(df: DataFrame, cols: dict[str, str], by: list[str],
+                 totals: dict[str, str] | None = None) -> DataFrame:
     """Exact unbounded cumulative sums (``{input: output}``) over each series.
 
     ``df`` must be home rows of a blocked layout.  Block totals form a table
     of (rows / block) entries; their running sum is the carry added to the
     in-block cumulative sum (one small aggregation + one join for all
-    columns).
+    columns).  ``totals`` (``{input: output}``) adds whole-series sums from
+    the same table (e.g. complete rows per series).
     """
+    totals = totals or {}
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    tot = df.groupBy(*by, BLK).agg(*[F.sum(z(x)).alias(f"_t_{o}") for x, o in cols.items()])
+    tot = df.groupBy(*by, BLK).agg(*[F.sum(z(x)).alias(f"_t_{o}") for x, o in {**cols, **totals}.items()])
     wb = Window.partitionBy(*by).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select(*by, BLK, *[F.coalesce(F.sum(f"_t_{o}").over(wb), F.lit(0.0)).alias(f"_c_{o}")
-                                   for o in cols.values()])
+    carry = tot.select(*by, BLK,
+                       *[F.coalesce(F.sum(f"_t_{o}").over(wb), F.lit(0.0)).alias(f"_c_{o}") for o in cols.values()],
+                       *[F.sum(f"_t_{o}").over(Window.partitionBy(*by)).alias(o) for o in totals.values()])
     d = df.select("*", *[F.sum(z(x)).over(cumulative(by)).alias(f"_l_{o}") for x, o in cols.items()])
     d = d.join(carry, [*by, BLK], "left")
     return d.select(*[c for c in d.columns if not c.startswith(("_l_", "_c_"))],
