@@ -19,7 +19,7 @@ live data and also runs as a streaming aggregate:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.params import DriftParams, DEFAULT_DRIFT
@@ -219,3 +219,48 @@ def report_json(report: DataFrame, features: DataFrame, ts: Column) -> DataFrame
         F.round("max_psi", 4).alias("max_psi"), "n_live_samples", "n_baseline_samples",
         "features")).alias("json"))
     return doc
+
+
+def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """Asymptotic two-sided KS p-value with the small-sample correction."""
+    en = n * m / (n + m)
+    lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * d
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+                         lambda a, k: a + F.pow(F.lit(-1.0), (k - 1).cast("double"))
+                         * F.exp(F.lit(-2.0) * (k * k).cast("double") * lam * lam))
+    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
+
+
+def ks_two_sample(df: DataFrame, keys: list[str], sample: str = "sample", value: str = "value",
+                  params: DriftParams = DEFAULT_DRIFT) -> DataFrame:
+    """K1 on two raw samples per key (``sample`` is 'a' / 'b'):
+    D = max over values |F_a - F_b| (right-continuous ECDFs), p, drifted.
+
+    Distributed prefix sums: counts per distinct (key, value) are range
+    partitioned by (key, value); a (partition, key) totals table gives each
+    slice's offset, and the in-slice running sum is a window over one range
+    slice — a hot key is spread over many slices.
+    """
+    keys = list(keys)
+    d = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        F.count_if(F.col(sample) == "a").alias("_ca"), F.count_if(F.col(sample) == "b").alias("_cb"))
+    d = (d.repartitionByRange(*keys, value).sortWithinPartitions(*keys, value)
+          .select("*", F.spark_partition_id().alias("_pid")))
+    tot = d.groupBy("_pid", *keys).agg(F.sum("_ca").alias("_ta"), F.sum("_cb").alias("_tb"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", *keys,
+                      F.coalesce(F.sum("_ta").over(w), F.lit(0)).alias("_oa"),
+                      F.coalesce(F.sum("_tb").over(w), F.lit(0)).alias("_ob"),
+                      F.sum("_ta").over(Window.partitionBy(*keys)).alias("n_a"),
+                      F.sum("_tb").over(Window.partitionBy(*keys)).alias("n_b"))
+    ws = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cum = d.select(*keys, "_pid", value, F.sum("_ca").over(ws).alias("_la"), F.sum("_cb").over(ws).alias("_lb"))
+    j = cum.join(offs, ["_pid", *keys])      # offsets: partitions x keys rows
+    gap = F.abs((F.col("_oa") + F.col("_la")) / F.col("n_a") - (F.col("_ob") + F.col("_lb")) / F.col("n_b"))
+    g = j.groupBy(*keys).agg(F.max(gap).alias("ks_statistic"), F.max("n_a").alias("n_a"),
+                             F.max("n_b").alias("n_b"))
+    small = F.col("n_b") < params.min_feature_samples
+    p = ks_pvalue(F.col("ks_statistic"), F.col("n_a").cast("double"), F.col("n_b").cast("double"))
+    return g.select(*keys, F.when(small, F.lit(0.0)).otherwise(F.col("ks_statistic")).alias("ks_statistic"),
+                    F.when(small, F.lit(1.0)).otherwise(p).alias("ks_p_value")) \
+        .withColumn("ks_drifted", F.col("ks_p_value") < params.ks_alpha)

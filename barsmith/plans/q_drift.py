@@ -438,3 +438,41 @@ def q_drift_banner(spark, sf_dir):
     rep = q_drift_report(spark, sf_dir)
     return rep.select(F.when(F.col("overall_drift_detected"), "alert")
                       .when(F.col("max_psi") > 0.1, "moderate").otherwise("stable").alias("banner"))
+
+
+# ---- K1 on raw samples -------------------------------------------------------------
+def _ks_raw_sql():
+    both = "\n  UNION ALL\n".join(
+        [f"  SELECT '{f}' AS feature, 'a' AS s, {f} AS v FROM ef WHERE {BASE_WHERE}" for f in FEATS] +
+        [f"  SELECT '{f}' AS feature, 'b' AS s, {f} AS v FROM ef WHERE {LIVE_WHERE}" for f in FEATS])
+    c = {"ef": EF, "ab": both,
+         "agg": """
+  SELECT feature, v, count(*) FILTER (WHERE s = 'a') AS ca, count(*) FILTER (WHERE s = 'b') AS cb
+  FROM ab WHERE v IS NOT NULL GROUP BY feature, v""",
+         "cdf": """
+  SELECT feature, sum(ca) OVER w AS sa, sum(cb) OVER w AS sb,
+         CAST(sum(ca) OVER (PARTITION BY feature) AS DOUBLE) AS na,
+         CAST(sum(cb) OVER (PARTITION BY feature) AS DOUBLE) AS nb
+  FROM agg WINDOW w AS (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+         "ks0": "  SELECT feature, max(abs(sa / na - sb / nb)) AS d, any_value(na) AS nl0, any_value(nb) AS nl FROM cdf GROUP BY feature",
+         "ks": """
+  SELECT feature, d, nl, (sqrt(nl0 * nl / (nl0 + nl)) + 0.12 + 0.11 / sqrt(nl0 * nl / (nl0 + nl))) * d AS lam
+  FROM ks0""",
+         "ksp": """
+  SELECT *, CASE WHEN lam < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(greatest(2 * list_sum(
+            list_transform(range(1, 101), lambda k: pow(CAST(-1 AS DOUBLE), k - 1)
+                           * exp(CAST(-2 AS DOUBLE) * k * k * lam * lam))), 0), 1) END AS p
+  FROM ks"""}
+    return Q.cte(**c) + f"""
+SELECT feature, {sql_round(f'CASE WHEN nl < {DP.min_feature_samples} THEN 0.0 ELSE d END', 6)} AS ks_statistic,
+  {sql_round(f'CASE WHEN nl < {DP.min_feature_samples} THEN 1.0 ELSE p END', 6)} AS ks_p_value,
+  CASE WHEN nl < {DP.min_feature_samples} THEN false ELSE p < {DP.ks_alpha} END AS ks_drifted
+FROM ksp"""
+
+
+@query("ks_raw", _ks_raw_sql)
+def q_ks_raw(spark, sf_dir):
+    """K1 (``run_ks_test``): raw baseline-window values vs raw live values."""
+    base = to_long(_event_base(spark, sf_dir), FEATS).withColumn("sample", F.lit("a"))
+    live = to_long(_event_live(spark, sf_dir), FEATS).withColumn("sample", F.lit("b"))
+    return rounded(D.ks_two_sample(base.unionByName(live), ["feature"]))

@@ -123,3 +123,18 @@ def test_windowed_drift_equals_per_window_runs(spark):
         assert keyed.loc[w, "psi"] == pytest.approx(one.psi, rel=1e-12)
         assert keyed.loc[w, "ks_statistic"] == pytest.approx(one.ks_statistic, rel=1e-12)
     assert keyed.loc[2, "ks_drifted"] and keyed.loc[2, "psi"] > keyed.loc[1, "psi"]
+
+
+def test_raw_two_sample_ks_matches_numpy(spark):
+    rng = np.random.default_rng(0)
+    rows = []
+    for key, (a, b) in {"same": (rng.normal(0, 1, 1000), rng.normal(0, 1, 200)),
+                        "shift": (rng.normal(0, 1, 1000), rng.normal(3, 2, 200))}.items():
+        rows += [(key, "a", float(x)) for x in np.round(a, 2)] + [(key, "b", float(x)) for x in np.round(b, 2)]
+    df = spark.createDataFrame(rows, "feature string, sample string, value double").repartition(5)
+    got = D.ks_two_sample(df, ["feature"]).toPandas().set_index("feature")
+    pdf = pd.DataFrame(rows, columns=["feature", "sample", "value"])
+    for key, g in pdf.groupby("feature"):
+        exp = _np_ks(g[g["sample"] == "a"].value.values, g[g["sample"] == "b"].value.values)
+        assert got.loc[key, "ks_statistic"] == pytest.approx(exp, abs=1e-12)
+    assert not got.loc["same", "ks_drifted"] and got.loc["shift", "ks_drifted"]
