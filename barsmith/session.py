@@ -43,6 +43,9 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # no Python call-site capture per Column call (a debugging aid that
+        # costs ~1 ms per functions.* call while building large plans)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in _RUNTIME_CONF.items():
         builder = builder.config(k, v)
