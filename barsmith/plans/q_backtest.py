@@ -10,7 +10,8 @@ from barsmith.operators.features import feature_matrix
 from barsmith.operators.quantiles import exact_quantiles, wide_quantiles
 from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
-from barsmith.sources.bars import daily_bars
+from barsmith.session import materialize
+from barsmith.sources.bars import bar_table, daily_bars
 
 # Fixed backtest window (one year inside the 1995-2001 ship-date range).
 START, END = "1998-01-01", "1998-12-31"
@@ -20,8 +21,8 @@ HI = Q.bday_sql(f"DATE '{END}'", -1)
 
 
 def _inputs(spark, sf_dir):
-    bars = daily_bars(spark, sf_dir)
-    fm = feature_matrix(bars, keep=("close",))
+    bars = bar_table(spark, sf_dir)
+    fm = materialize(feature_matrix(bars, keep=("close",)), "features_close")
     return bars, fm
 
 

@@ -34,7 +34,10 @@ def _event_live(spark, sf_dir):
 
 
 def _baseline(spark, sf_dir):
-    return baseline_stats(_event_base(spark, sf_dir), FEATS)
+    """The stored baseline (one row per feature), written once and read back
+    like the reference's baseline document."""
+    from barsmith.session import materialize
+    return materialize(baseline_stats(_event_base(spark, sf_dir), FEATS), "baseline")
 
 
 def _live_long(spark, sf_dir):

@@ -11,14 +11,14 @@ from barsmith.operators.indicators import compute_indicators, indicator_columns
 from barsmith.params import DEFAULT_FEATURES as P
 from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
-from barsmith.sources.bars import daily_bars, hourly_bars
+from barsmith.sources.bars import bar_table, daily_bars, hourly_bars
 
 
 def _ind_query(name: str, include: tuple[str, ...], params=P):
     cols = indicator_columns(params, include)
 
     def build(spark, sf_dir):
-        ind = compute_indicators(daily_bars(spark, sf_dir), params, include)
+        ind = compute_indicators(bar_table(spark, sf_dir), params, include)
         return rounded(ind.select("ticker", "date", *cols))
 
     def sql():
@@ -66,7 +66,7 @@ SELECT ticker, date,
 FROM bn""")
 def target_classification(spark, sf_dir):
     p = replace(P, target_mode="classification")
-    ind = compute_indicators(daily_bars(spark, sf_dir), p, ("target",))
+    ind = compute_indicators(bar_table(spark, sf_dir), p, ("target",))
     return rounded(ind.select("ticker", "date", "target"))
 
 
@@ -80,18 +80,18 @@ _FM_COLS = [*P.feature_names(), "target"]
 
 @query("feature_matrix", lambda: _fm_sql("ticker, date, " + ", ".join(R(c, c) for c in _FM_COLS)))
 def q_feature_matrix(spark, sf_dir):
-    return rounded(feature_matrix(daily_bars(spark, sf_dir)))
+    return rounded(feature_matrix(bar_table(spark, sf_dir)))
 
 
 @query("feature_projection", lambda: _fm_sql("ticker, date, " + ", ".join(R(c, c) for c in P.feature_names())))
 def q_feature_projection(spark, sf_dir):
-    return rounded(feature_projection(feature_matrix(daily_bars(spark, sf_dir))))
+    return rounded(feature_projection(feature_matrix(bar_table(spark, sf_dir))))
 
 
 @query("feature_dropna", lambda: Q.cte(**{k: v for k, v in Q.feature_ctes().items() if k != "fm"}) +
        "SELECT ticker, count(*) AS n_rows FROM fm0 GROUP BY ticker")
 def q_feature_dropna(spark, sf_dir):
-    ind = compute_indicators(daily_bars(spark, sf_dir), P)
+    ind = compute_indicators(bar_table(spark, sf_dir), P)
     fm = complete_cases(ind.select("ticker", "date", *_FM_COLS))
     return fm.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -101,7 +101,7 @@ SELECT ticker, count(*) AS n_rows, count(*) >= {P.min_rows} AS kept
 FROM fm0 GROUP BY ticker""")
 def q_feature_min_rows(spark, sf_dir):
     """F3 in report form: rows per ticker after dropna and the keep flag."""
-    ind = compute_indicators(daily_bars(spark, sf_dir), P)
+    ind = compute_indicators(bar_table(spark, sf_dir), P)
     fm = complete_cases(ind.select("ticker", "date", *_FM_COLS))
     cnt = fm.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
     return cnt.withColumn("kept", F.col("n_rows") >= P.min_rows)

@@ -11,14 +11,18 @@ from barsmith.operators.scaling import fit_robust, fit_standard
 from barsmith.params import DEFAULT_FEATURES as P, DEFAULT_SPLITS as S
 from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
-from barsmith.sources.bars import daily_bars
+from barsmith.session import materialize
+from barsmith.sources.bars import bar_table
 
 TEST_FRAC = 1.0 - S.test_size          # the same double on both sides
 FEATS = P.feature_names()
 
 
 def _fm(spark, sf_dir):
-    return feature_matrix(daily_bars(spark, sf_dir))
+    """The feature matrix as a table: splits number its rows in several
+    branches (day counts, month offsets, rows), which must not each
+    recompute the features."""
+    return materialize(feature_matrix(bar_table(spark, sf_dir)), "features")
 
 
 def _g_ctes(extra: dict | None = None) -> dict:

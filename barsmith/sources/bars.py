@@ -139,3 +139,15 @@ def bars_lookback(bars: DataFrame, as_of, days: int = 730) -> DataFrame:
         as_of = as_of.isoformat()[:10]
     lo = F.date_sub(F.lit(as_of).cast("date"), days)
     return bars.filter(F.col("date") >= lo)
+
+
+def bar_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bars_d`` written once to the shared checkpoint folder and read back.
+
+    Downstream plans use the bars in several branches (ordinal counts, the
+    windowed rows, per-block totals); column pruning makes those branches'
+    roll-ups differ, so without a table every branch would re-read the raw
+    ticks.  Bars are small next to ticks: write once, scan many times.
+    """
+    from barsmith.session import materialize
+    return materialize(daily_bars(spark, sf_dir), "bars_d")

@@ -26,8 +26,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
     qs = all_queries()
-    # warm-up: JVM / codegen on a tiny query
-    qs["bday_shift"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up (not timed): the same code paths on the smallest data set, so
+    # JIT compilation and class loading do not land in the first timing
+    warm = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001"))
+    if os.path.isdir(warm):
+        for name in HEADLINE:
+            qs[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
