@@ -89,8 +89,8 @@ def walk_forward_folds(df: DataFrame, params: SplitParams = DEFAULT_SPLITS,
     d = _ordinal(df, params, order)
     k = F.floor(F.col(GN) / F.lit(s + 1))
     pos = F.col(GORD)
-    # the first fold a row can be in: as validation or (later) as training
-    d = d.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(s))))
+    # each row is considered for every fold (s copies, s = 3 by default)
+    d = d.withColumn("fold", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(s).cast("long"))))
     vstart = F.col(GN) - (F.lit(s + 1) - F.col("fold")) * k
     role = (F.when((pos >= vstart) & (pos < vstart + k), "val")
              .when(pos < vstart - F.lit(gap), "train"))

@@ -306,7 +306,7 @@ def q_psi_ranked(spark, sf_dir):
     # one row per feature: the ranking window is over a schema-sized table
     w = Window.orderBy(F.desc("psi"), "feature")
     return rounded(d.select("feature", "psi", band.alias("band"),
-                            F.row_number().over(w).alias("psi_rank")))
+                            F.row_number().over(w).cast("long").alias("psi_rank")))
 
 
 @query("drift_report", lambda: Q.cte(**drift_ctes()) +

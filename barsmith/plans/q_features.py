@@ -62,7 +62,7 @@ _ind_query("target_regression", ("target",))
 @query("target_classification", lambda: Q.cte(bars=Q.BARS_D, bn=Q.numbered("bars")) + """
 SELECT ticker, date,
   CASE WHEN (lead(close, 1) OVER (PARTITION BY ticker ORDER BY date) - close) / NULLIF(close, 0) > 0
-       THEN 1.0 ELSE 0.0 END AS target
+       THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS target
 FROM bn""")
 def target_classification(spark, sf_dir):
     p = replace(P, target_mode="classification")
