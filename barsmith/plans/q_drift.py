@@ -74,12 +74,13 @@ def _fl(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
-def baseline_ctes() -> dict[str, str]:
+def baseline_ctes(base_long: str | None = None, n_train: str | None = None) -> dict[str, str]:
+    """Baseline profile CTEs; defaults: the events baseline window."""
     pct = ", ".join(f"quantile_cont(v, {_fl(p)}) AS {n}" for p, n in
                     {0.05: "p5", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.95: "p95"}.items())
     return {
         "ef": EF,
-        "base_long": _long("ef", BASE_WHERE),
+        "base_long": base_long or _long("ef", BASE_WHERE),
         "mom": f"""
   SELECT feature, avg(v) AS mean, stddev_pop(v) AS std, min(v) AS mn, max(v) AS mx,
          count(*) AS n_samples, {pct}
@@ -102,16 +103,18 @@ def baseline_ctes() -> dict[str, str]:
         "bstats": f"""
   SELECT e.feature, e.mean, e.std, e.mn AS min, e.mx AS max, e.p5, e.p25, e.p50, e.p75, e.p95,
          e.n_samples, d.counts, e.bin_edges,
-         (SELECT count(*) FROM ef WHERE {BASE_WHERE}) AS n_train_samples, 'raw' AS space
+         ({n_train or f"SELECT count(*) FROM ef WHERE {BASE_WHERE}"}) AS n_train_samples, 'raw' AS space
   FROM ed2 e JOIN dense d ON e.feature = d.feature""",
     }
 
 
 def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None,
-               keys=()) -> dict[str, str]:
+               keys=(), base: dict[str, str] | None = None) -> dict[str, str]:
     """KS / PSI by brute force over the expanded baseline samples; ``keys``
-    are extra grouping columns of ``live_long`` (e.g. a window end)."""
-    c = baseline_ctes()
+    are extra grouping columns of ``live_long`` (e.g. a window end);
+    ``base``: CTEs to put first (the baseline's own sources)."""
+    c = dict(base or {})
+    c.update(baseline_ctes(*(() if base is None else (c.pop("_base_long"), c.pop("_n_train")))))
     c.update(extra or {})
     c["live_long"] = live_long or _long("ef", LIVE_WHERE)
     probs = "[" + ", ".join(_fl(p) for p in PSI_PROBS) + "]"
@@ -479,3 +482,54 @@ def q_ks_raw(spark, sf_dir):
     base = to_long(_event_base(spark, sf_dir), FEATS).withColumn("sample", F.lit("a"))
     live = to_long(_event_live(spark, sf_dir), FEATS).withColumn("sample", F.lit("b"))
     return rounded(D.ks_two_sample(base.unionByName(live), ["feature"]))
+
+
+# ---- the 30-feature panel: training-split baseline vs test-split rows ----------------
+def _panel_ctes(live: bool = True) -> dict[str, str]:
+    from barsmith.plans.q_splits import _g_ctes
+    from barsmith.params import DEFAULT_FEATURES
+    feats = DEFAULT_FEATURES.feature_names()
+    base = _g_ctes()
+    base["_base_long"] = "\n  UNION ALL\n".join(
+        f"  SELECT '{f}' AS feature, {f} AS v FROM g3 WHERE split = 'train'" for f in feats)
+    base["_n_train"] = "SELECT count(*) FROM g3 WHERE split = 'train'"
+    live_sql = "\n  UNION ALL\n".join(
+        f"  SELECT '{f}' AS feature, {f} AS v FROM g3 WHERE split = 'test'" for f in feats)
+    return drift_ctes(live_long=live_sql, base=base) if live else \
+        {**{k: v for k, v in base.items() if not k.startswith("_")},
+         **baseline_ctes(base["_base_long"], base["_n_train"])}
+
+
+def _panel_split(spark, sf_dir):
+    from barsmith.operators import splits as SP
+    from barsmith.plans.q_splits import _fm
+    from barsmith.session import materialize
+    return materialize(SP.three_way_split(_fm(spark, sf_dir)), "panel_split")
+
+
+def _panel_baseline(spark, sf_dir, d):
+    from barsmith.params import DEFAULT_FEATURES
+    from barsmith.session import materialize
+    train = d.filter(F.col("split") == "train")
+    return materialize(baseline_stats(train, DEFAULT_FEATURES.feature_names()), "panel_baseline")
+
+
+@query("baseline_stats_panel", lambda: Q.cte(**_panel_ctes(live=False)) + "SELECT " + ", ".join(
+    R(c, c) if c in ("mean", "std", "min", "max", "p5", "p25", "p50", "p75", "p95") else
+    (f"list_transform(bin_edges, lambda x: {sql_round('x', 6)}) AS bin_edges" if c == "bin_edges" else c)
+    for c in _BS_COLS) + " FROM bstats")
+def q_baseline_stats_panel(spark, sf_dir):
+    """A1 + A2 on the 30 features of the training split (the stored baseline)."""
+    d = _panel_split(spark, sf_dir)
+    return _round_arrays(rounded(_panel_baseline(spark, sf_dir, d)), ["bin_edges"], 6)
+
+
+@query("drift_panel", lambda: Q.cte(**_panel_ctes()) +
+       _rsel(["feature", "ks_statistic", "ks_p_value", "ks_drifted", "psi", "psi_severity"]))
+def q_drift_panel(spark, sf_dir):
+    """K3 on the 30-feature panel: test-split rows against the training-split baseline."""
+    from barsmith.params import DEFAULT_FEATURES
+    d = _panel_split(spark, sf_dir)
+    base = _panel_baseline(spark, sf_dir, d)
+    live = to_long(d.filter(F.col("split") == "test"), DEFAULT_FEATURES.feature_names())
+    return rounded(D.drift_features(base, live))
