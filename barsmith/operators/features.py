@@ -47,16 +47,25 @@ def min_rows_guard(df: DataFrame, min_rows: int, mode: str = "drop",
 
 
 def feature_matrix(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES, *,
-                   order: str = "date", period: str = "month", keep=()) -> DataFrame:
+                   order: str = "date", period: str = "month", keep=(),
+                   write_once: bool = False) -> DataFrame:
     """Bars -> ``ticker, date, <features>, target``; complete rows only,
     series with at least ``params.min_rows`` rows.  ``keep``: extra bar
     columns to carry (e.g. ``close`` for the backtest).
 
     The complete-row count per series comes from the same per-block table
     as the OBV carry (one small aggregation + one join serve both), so F3
-    needs no second pass over the features."""
+    needs no second pass over the features.  ``write_once``: the windowed
+    rows are written to the shared checkpoint folder and the per-block
+    totals read that table, instead of a second branch recomputing (and
+    re-shuffling) every window."""
     feats = [*params.feature_names(), "target"]
-    ind = compute_indicators(bars, params, ALL, order=order, period=period, complete_cols=feats)
+    stage = None
+    if write_once:
+        from barsmith.session import materialize
+        stage = lambda d: materialize(d, "windowed")
+    ind = compute_indicators(bars, params, ALL, order=order, period=period, complete_cols=feats,
+                             stage=stage)
     cols = ["ticker", order, *keep, *feats]
     fm = complete_cases(ind, subset=feats)
     if params.min_rows_mode == "fail":

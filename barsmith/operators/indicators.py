@@ -59,11 +59,14 @@ def layout_needs(p: FeatureParams, include) -> tuple[int, int, list[float]]:
 def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES,
                        include=ALL, *, by=("ticker",), order: str = "date",
                        period: str = "month", keep_ordinal: bool = False,
-                       complete_cols=None) -> DataFrame:
+                       complete_cols=None, stage=None) -> DataFrame:
     """Bars -> bars + requested indicator columns (one row per input bar).
 
     ``complete_cols``: also add ``n_complete_`` = rows of the series where
-    all these columns are non-null (from the same block table as OBV)."""
+    all these columns are non-null (from the same block table as OBV).
+    ``stage``: optional ``DataFrame -> DataFrame`` applied to the windowed
+    rows before the per-block totals are taken (e.g. write them once, so
+    the totals do not recompute the windows in a second branch)."""
     p = params
     inc = set(include)
     by = list(by)
@@ -159,6 +162,8 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
                 ok = ok & F.col(name).isNotNull()
         d = d.withColumn("_complete_x", ok.cast("double"))
         totals["_complete_x"] = "n_complete_"
+    if stage is not None:
+        d = stage(d)
     if sums or totals:
         d = S.running_sums(d, sums, by, totals)
 

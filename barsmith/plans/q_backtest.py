@@ -22,7 +22,7 @@ HI = Q.bday_sql(f"DATE '{END}'", -1)
 
 def _inputs(spark, sf_dir):
     bars = bar_table(spark, sf_dir)
-    fm = materialize(feature_matrix(bars, keep=("close",)), "features_close")
+    fm = feature_matrix(bars, keep=("close",), write_once=True)
     return bars, fm
 
 

@@ -72,7 +72,7 @@ _STORE_COLS = ["ticker", "date", "rsi_14", "sma_5", "target"]
 
 def _write_fm(spark, sf_dir, name):
     path = ST.scratch_path(spark, name)
-    fm = feature_matrix(bar_table(spark, sf_dir)).select(*_STORE_COLS)
+    fm = feature_matrix(bar_table(spark, sf_dir), write_once=True).select(*_STORE_COLS)
     ST.write_features(fm, path)
     return path
 
@@ -104,7 +104,7 @@ def q_panel_one_ticker(spark, sf_dir):
 
 def _write_versions(spark, sf_dir):
     path = ST.scratch_path(spark, "store")
-    fm = feature_matrix(bar_table(spark, sf_dir)).select(*_STORE_COLS)
+    fm = feature_matrix(bar_table(spark, sf_dir), write_once=True).select(*_STORE_COLS)
     old = fm.filter(F.col("date") < F.lit("1997-01-01").cast("date")).withColumn("date_tag", F.lit("19970101"))
     ST.write_features(old, path, by=("ticker", "date_tag"))
     new = fm.withColumn("date_tag", F.lit("20020101"))

@@ -80,12 +80,12 @@ _FM_COLS = [*P.feature_names(), "target"]
 
 @query("feature_matrix", lambda: _fm_sql("ticker, date, " + ", ".join(R(c, c) for c in _FM_COLS)))
 def q_feature_matrix(spark, sf_dir):
-    return rounded(feature_matrix(bar_table(spark, sf_dir)))
+    return rounded(feature_matrix(bar_table(spark, sf_dir), write_once=True))
 
 
 @query("feature_projection", lambda: _fm_sql("ticker, date, " + ", ".join(R(c, c) for c in P.feature_names())))
 def q_feature_projection(spark, sf_dir):
-    return rounded(feature_projection(feature_matrix(bar_table(spark, sf_dir))))
+    return rounded(feature_projection(feature_matrix(bar_table(spark, sf_dir), write_once=True)))
 
 
 @query("feature_dropna", lambda: Q.cte(**{k: v for k, v in Q.feature_ctes().items() if k != "fm"}) +

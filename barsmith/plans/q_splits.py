@@ -19,10 +19,11 @@ FEATS = P.feature_names()
 
 
 def _fm(spark, sf_dir):
-    """The feature matrix as a table: splits number its rows in several
-    branches (day counts, month offsets, rows), which must not each
-    recompute the features."""
-    return materialize(feature_matrix(bar_table(spark, sf_dir)), "features")
+    """The feature matrix for splits: its windowed rows are a written table
+    (``write_once``), so the several branches that number the rows (day
+    counts, month offsets, rows) re-read it instead of recomputing the
+    windows."""
+    return feature_matrix(bar_table(spark, sf_dir), write_once=True)
 
 
 def _g_ctes(extra: dict | None = None) -> dict:
