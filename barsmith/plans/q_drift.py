@@ -398,7 +398,10 @@ def _check_sql():
 def drift_check(spark, sf_dir, min_samples: int = DP.min_samples):
     """K5: captures -> vectors -> F9 gate -> long -> K3 -> K4 (one row, or
     none when fewer than ``min_samples`` vectors were captured)."""
-    vec = _vectors(spark, sf_dir)
+    from barsmith.session import materialize
+    # parse the capture JSON once: the vector count and the drift counts
+    # both read the parsed table
+    vec = materialize(_vectors(spark, sf_dir), "vectors")
     base = _baseline(spark, sf_dir)
     feats = D.drift_features(base, C.vector_to_long(vec, "features", FEATS, ["event_id"]))
     n_live = vec.agg(F.count(F.lit(1)).alias("n_live_samples"))
