@@ -130,7 +130,12 @@ def q_store_latest(spark, sf_dir):
     return rounded(ST.latest_version(df).select("ticker", "date", "target"))
 
 
-@query("baseline_roundtrip", lambda: __import__("barsmith.plans.q_drift", fromlist=["x"])._bs_sql())
+def _baseline_sql():
+    from barsmith.plans.q_drift import _bs_sql
+    return _bs_sql()
+
+
+@query("baseline_roundtrip", _baseline_sql)
 def q_baseline_roundtrip(spark, sf_dir):
     """Baseline written as a parquet table and as JSON, read back."""
     from barsmith.plans.q_drift import _event_base, FEATS, _round_arrays

@@ -346,16 +346,20 @@ def _eval_frame(spark, sf_dir):
     return d, nm
 
 
-@query("model_metrics_long", lambda: __import__("barsmith.plans.q_splits", fromlist=["x"])._g_ctes.__call__ and (
-    Q.cte(**__import__("barsmith.plans.q_splits", fromlist=["x"])._g_ctes({
+def _model_metrics_sql():
+    from barsmith.plans.q_splits import _g_ctes, _metric_sql, _r
+    c = _g_ctes({
         "nm": "  SELECT avg(target) AS prediction FROM g3 WHERE split = 'train'",
-        "mt": "  SELECT split, " + __import__("barsmith.plans.q_splits", fromlist=["x"])._metric_sql(
-            "target", "prediction", __import__("barsmith.plans.q_splits", fromlist=["x"])._r) +
-              " FROM g3, nm WHERE split IN ('val', 'test') GROUP BY split"})) + f"""
+        "mt": "  SELECT split, " + _metric_sql("target", "prediction", _r) +
+              " FROM g3, nm WHERE split IN ('val', 'test') GROUP BY split"})
+    return Q.cte(**c) + f"""
 SELECT TIMESTAMP '{REPORT_TS}' AS ts, MAP {{'Ticker': 'ALL', 'ModelVersion': 'naive-mean-' || split}} AS dims,
        name, {sql_round('value', 4)} AS value FROM (
   SELECT split, 'RMSE' AS name, rmse AS value FROM mt UNION ALL SELECT split, 'MAE', mae FROM mt
-  UNION ALL SELECT split, 'DirectionalAccuracy', directional_accuracy FROM mt)"""))
+  UNION ALL SELECT split, 'DirectionalAccuracy', directional_accuracy FROM mt)"""
+
+
+@query("model_metrics_long", _model_metrics_sql)
 def q_model_metrics_long(spark, sf_dir):
     """Model metrics as (Ticker, ModelVersion)-dimensioned rows."""
     d, nm = _eval_frame(spark, sf_dir)
@@ -376,10 +380,14 @@ def _cv_fold_metrics(spark, sf_dir):
     return compute_metrics(val, by=["fold"])
 
 
-@query("retrain_rmse_delta", lambda: __import__("barsmith.plans.q_splits", fromlist=["x"])._cv_sql().split(
-    "SELECT 'naive_mean' AS model")[0] + """
+def _rmse_delta_sql():
+    from barsmith.plans.q_splits import _cv_sql
+    return _cv_sql().split("SELECT 'naive_mean' AS model")[0] + """
 SELECT fold, lag(rmse) OVER (ORDER BY fold) AS before_rmse, rmse AS after_rmse,
-       """ + sql_round("rmse - lag(rmse) OVER (ORDER BY fold)", 6) + """ AS rmse_delta FROM fold_m""")
+       """ + sql_round("rmse - lag(rmse) OVER (ORDER BY fold)", 6) + """ AS rmse_delta FROM fold_m"""
+
+
+@query("retrain_rmse_delta", _rmse_delta_sql)
 def q_retrain_rmse_delta(spark, sf_dir):
     """Each walk-forward refit as a retraining run; delta to the previous run."""
     fm = _cv_fold_metrics(spark, sf_dir).select("fold", "rmse")
