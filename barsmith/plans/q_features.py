@@ -105,3 +105,13 @@ def q_feature_min_rows(spark, sf_dir):
     fm = complete_cases(ind.select("ticker", "date", *_FM_COLS))
     cnt = fm.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows"))
     return cnt.withColumn("kept", F.col("n_rows") >= P.min_rows)
+
+
+@query("feature_matrix_hourly", lambda: Q.cte(**Q.feature_ctes(Q.BARS_H)) +
+       "SELECT ticker, date, " + ", ".join(R(c, c) for c in _FM_COLS) + " FROM fm")
+def q_feature_matrix_hourly(spark, sf_dir):
+    """W13 on hourly bars (``bars_h`` from events): the same operators with a
+    timestamp order column."""
+    from barsmith.session import materialize
+    bars = materialize(hourly_bars(spark, sf_dir), "bars_h")
+    return rounded(feature_matrix(bars, write_once=True))
