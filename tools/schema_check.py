@@ -1,6 +1,6 @@
 """Compare output column types of every query with its oracle SQL.
 
-    python tools/schema_check.py [sf_dir]
+    python tools/schema_check.py [sf_dir] [name ...]
 
 Types are compared by family (integer width, floating, string, boolean,
 date, timestamp, list, map); prints mismatches only.
@@ -46,7 +46,8 @@ def fam_duck(t: str) -> str:
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    sf = sys.argv[1] if len(sys.argv) > 1 and os.path.isdir(sys.argv[1]) else "/root/testdata/sf0.01"
+    names = [a for a in sys.argv[1:] if not os.path.isdir(a)]
     spark = get_session()
     con = duckdb.connect()
     for t in TABLES:
@@ -54,6 +55,8 @@ def main():
     qs, os_ = all_queries(), all_oracles()
     bad = 0
     for name, sql in os_.items():
+        if names and name not in names:
+            continue
         df = qs[name](spark, sf)
         s = {f.name: fam_spark(f.dataType.simpleString()) for f in df.schema.fields}
         rel = con.sql(sql)
@@ -62,7 +65,7 @@ def main():
         if diff:
             bad += 1
             print(f"TYPES {name}: {diff}", flush=True)
-    print(f"type mismatches in {bad} of {len(os_)} queries")
+    print(f"type mismatches in {bad} of {len(names) if names else len(os_)} queries")
 
 
 if __name__ == "__main__":
