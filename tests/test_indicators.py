@@ -134,3 +134,29 @@ def test_flagship_plan_has_no_single_partition_window_or_python(spark):
     plan = fm._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_blocked_ewm_property(spark):
+    """Random alpha / block size / length: blocked EWM == sequential recurrence."""
+    from hypothesis import given, settings, strategies as st
+    from barsmith.operators import sequence as S
+    from barsmith.params import ewm_horizon
+
+    @settings(max_examples=4, deadline=None)
+    @given(alpha=st.floats(0.05, 0.6), block=st.sampled_from([64, 128, 256]),
+           n=st.integers(50, 600), seed=st.integers(0, 10_000))
+    def check(alpha, block, n, seed):
+        rng = np.random.default_rng(seed)
+        x = 100 + np.cumsum(rng.normal(0, 1, n))
+        pdf = pd.DataFrame({"ticker": "Z", "date": pd.bdate_range("2020-01-01", periods=n).date, "close": x})
+        back = ewm_horizon(alpha)
+        d = S.blocked(S.with_ordinal(spark.createDataFrame(pdf), ["ticker"], "date"), ["ticker"], block, back, 0)
+        got = (d.select("date", S.ewm(F.col("close"), alpha, ["ticker"]).alias("e"))
+                .filter(F.col(S.HOME)).toPandas().sort_values("date").e.values)
+        exp = np.empty(n)
+        exp[0] = x[0]
+        for i in range(1, n):
+            exp[i] = alpha * x[i] + (1 - alpha) * exp[i - 1]
+        np.testing.assert_allclose(got, exp, rtol=1e-12)
+
+    check()
