@@ -69,11 +69,10 @@ def counts(text: Column) -> dict[str, Column]:
         "n_lines": F.size(lines),
         "n_dup_lines": _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
         "n_repeat_words": repeated_words(words(t)),
-        "n_distinct": F.size(F.array_distinct(words(t))),
+        "n_other": F.length(F.regexp_replace(dense, r"\p{L}+", "")),
         "n_upper": without("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         "n_marks": without("!?"),
         "n_alone": F.size(F.filter(words(t), lambda w: ~w.rlike(r"\p{L}"))),
-        "n_ends": F.size(F.filter(lines, lambda s: s.rlike(r"[.!?…][\"'”»)]*\s*\z"))),
     }
 
 
@@ -87,9 +86,9 @@ def rules(c) -> dict[str, Column]:
     return {
         "word_length": _vote((c("word_chars") < 2 * n) | (c("word_chars") > 20 * n), (c("word_chars") >= 3 * n) & (c("word_chars") <= 12 * n)),
         "symbols": _vote(10 * c("n_symbols") > n, 50 * c("n_symbols") <= n),
-        "dup_lines": _vote(10 * c("n_dup_lines") > 3 * c("n_lines"), (c("n_dup_lines") == 0) & (c("n_lines") > 2)),
-        "repeats": _vote(5 * c("n_repeat_words") > n, 20 * c("n_repeat_words") <= n),
-        "variety": _vote((5 * c("n_distinct") < n) & (n >= 50) & (n < 2000), 3 * c("n_distinct") >= n),
+        "dup_lines": _vote(2 * c("n_dup_lines") > c("n_lines"), (c("n_dup_lines") == 0) & (c("n_lines") > 2)),
+        "repeats": _vote(10 * c("n_repeat_words") > 3 * n, 20 * c("n_repeat_words") <= n),
+        "letters": _vote(10 * c("n_other") > c("word_chars"), 16 * c("n_other") <= c("word_chars")),
         "shouting": _vote(10 * c("n_upper") > 3 * c("word_chars"), 10 * c("n_upper") <= c("word_chars")),
         "marks": _vote(5 * c("n_marks") > n, 20 * c("n_marks") <= n),
         "alone": _vote(5 * c("n_alone") > n, 20 * c("n_alone") <= n),

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import byte_bpe, shuffle_shard, token_counts, url_filter
+from barsmith.llm import byte_bpe, line_dedup, ngram_jaccard, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
 from barsmith.sources.tables import read_table
 
 # The rules of the URL query, (verdict, host and path).
@@ -31,17 +31,38 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shuffle_shard.shard(read_table(spark, sf_dir, "documents"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.roundtrip(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a word, how many of them are removed, and the text left."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup(docs)
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_token_counts, op7_sharding, op9_byte_bpe)
+    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_quality_rules, op5_ngram_jaccard, op7_sharding, op8_toxicity, op9_byte_bpe, op10_line_dedup)
 }
 
 ORACLES: dict[str, str] = {}
