@@ -13,16 +13,16 @@ from barsmith.session import prepare
 SPACE = r"[\x20\x09-\x0D]+"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Rows per Arrow batch handed to Python: with whole texts in a batch this is
-# what bounds a worker's memory (text bytes are bounded again by `slices`).
-ARROW_ROWS = "1000"
+# What one Arrow batch handed to Python holds at most; with whole texts in a
+# batch this bounds a worker's memory (`slices` cuts batches further).
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def session(spark: SparkSession) -> SparkSession:
     """Settings the Arrow operators rely on; idempotent."""
     prepare(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != ARROW_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    for k, v in ARROW.items():
+        spark.conf.set(k, v)
     return spark
 
 

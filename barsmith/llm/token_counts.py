@@ -87,7 +87,7 @@ class Shortcut:
         marked = pc.if_else(odd, "", marked)
         pretokens = pc.split_pattern(pc.replace_substring_regex(marked, PRETOKEN, f"\\1{CUT}"), CUT)
         coded = pretokens.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         per_word = self.of_distinct([w or "\n" for w in words])
         per_word[[i for i, w in enumerate(words) if not w]] = 0  # behind the last cut
         each = np.append(0, np.cumsum(per_word[coded.indices.to_numpy()]))
