@@ -10,8 +10,9 @@ place, so the first copy of each line survives.
 
 Per document only ranges travel: the windows' hashes are shuffled once, first
 occurrences are combined before that shuffle, and the ranges come back to the
-texts by an equi-join.  Both joins read written tables on both sides, so AQE
-can split a window or document that is repeated very often.
+texts by an equi-join that only texts pass which a Bloom filter of the changed
+documents lets through; the others are not shuffled.  Both joins read written
+tables, so AQE can split a window or document that is repeated very often.
 
 Defined results: null texts stay null and have no lines; empty texts stay
 empty; rows equal in id and text are one document (repeated rows keep or lose
@@ -24,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.llm import bloom
 from barsmith.llm.common import session
 from barsmith.session import materialize
 
@@ -98,7 +100,10 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     (lines with a word before), ``__n_removed`` of those."""
     session(docs.sparkSession)
     ranges = later_ranges(docs, id_col=id_col, text_col=text_col)
-    rows = docs.select("*", *_keys(id_col, text_col)).join(ranges, ["__k1", "__k2"], "left")
+    named, changed = docs.select("*", *_keys(id_col, text_col)), bloom.build(ranges, "__k1")
+    rows = bloom.possible_hits(named, "__k1", changed).join(ranges.hint("merge"), ["__k1", "__k2"], "left")
+    others = bloom.sure_misses(named, "__k1", changed).withColumn("__cut", F.lit(None).cast(ranges.schema["__cut"].dataType))
+    rows = rows.unionByName(others)
     lines = F.split(F.col(text_col), "\n")
     left = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.array_join(without_ranges(lines, F.col("__cut")), "\n"))
     count = lambda c: F.coalesce(F.size(F.filter(F.split(c, "\n"), lambda s: F.btrim(s, F.lit(WHITE)) != "")), F.lit(0))
@@ -107,3 +112,12 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     kept = F.when(F.col(text_col).isNull(), 0).otherwise(count(F.col("__left")))
     return out.select(*[F.col("__left").alias(c) if c == text_col else F.col(c) for c in docs.columns],
                       n.cast("long").alias("__n_lines"), (n - kept).cast("long").alias("__n_removed"))
+
+
+def keep_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs``, the same columns, with the texts after removal; documents
+    that lose all their lines go.  ``chars_col``, if there, follows the text."""
+    out = dedup(docs, id_col=id_col, text_col=text_col)
+    out = out.filter((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_lines")))
+    chars = F.when(F.col("__n_removed") > 0, F.length(text_col).cast("long")).otherwise(F.col(chars_col)) if chars_col in docs.columns else None
+    return out.select(*[chars.alias(c) if c == chars_col else F.col(c) for c in docs.columns])

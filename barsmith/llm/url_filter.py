@@ -29,11 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.llm import bloom
 from barsmith.llm.common import ascii_lower, session, with_copies
 
-WORDS = 8
-BLOCKS = 1 << 14
-
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end; A-Z lower."""
@@ -54,33 +52,6 @@ def canonical(host: Column, path: Column) -> Column:
     return F.concat(host, F.regexp_replace(path, r"(/index)?(\.html?)?/*\z", ""))
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _masks(key: Column) -> list[Column]:
-    h = F.xxhash64(key, F.lit("mask"))
-    return [F.call_function("shiftleft", F.lit(1).cast("long"),
-                            F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"))
-            for i in range(WORDS)]
-
-
-def bloom(keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
-    """(block, w0..w7): the set bits; at most ``blocks`` rows."""
-    masked = keys.select(_block(F.col(key), blocks).alias("_block"),
-                         *[m.alias(f"_w{i}") for i, m in enumerate(_masks(F.col(key)))])
-    return masked.groupBy("_block").agg(*[F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)])
-
-
-def possible_hits(df: DataFrame, key: str, filt: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """Rows whose ``key`` may be in the filter (all that are, and a few more)."""
-    joined = df.withColumn("_block", _block(F.col(key), blocks)).join(F.broadcast(filt), "_block")
-    test = F.lit(True)
-    for i, m in enumerate(_masks(F.col(key))):
-        test = test & (F.col(f"_w{i}").bitwiseAND(m) == m)
-    return joined.filter(test).drop("_block", *[f"_w{i}" for i in range(WORDS)])
-
-
 def _candidates(host: Column, path: Column, labels: int, lengths: list[int]) -> Column:
     """All strings under which a rule of the list could fit (host, path)."""
     parts = F.split(host, r"\.")
@@ -93,7 +64,7 @@ def _candidates(host: Column, path: Column, labels: int, lengths: list[int]) ->
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFrame | None = None, *, id_col: str = "page_id",
-          url_col: str = "url", blocks: int = BLOCKS) -> DataFrame:
+          url_col: str = "url", blocks: int = bloom.BLOCKS) -> DataFrame:
     """page_id, host, path, rule, verdict, canonical.
 
     ``rules``: (verdict, "host/path") with the path from the first slash on;
@@ -117,7 +88,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFrame | No
     own = F.array(F.concat(F.lit("?"), canonical(F.col("host"), F.col("path"))))
     keys = _candidates(F.col("host"), F.col("path"), labels, lengths)
     tried = base.select("page_id", "host", "path", F.explode(F.concat(keys, own)).alias("entry"))
-    hits = possible_hits(tried, "entry", bloom(entries, "entry", blocks), blocks).join(entries, "entry")
+    hits = bloom.possible_hits(tried, "entry", bloom.build(entries, "entry", blocks), blocks).join(entries, "entry")
 
     # the best entry a page; pages without a hit come from `base`
     rank = F.struct(F.when(F.col("entry").startswith("?"), F.lit(0)).otherwise(F.length("entry")).alias("len"),
