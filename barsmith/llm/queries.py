@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import byte_bpe, line_dedup, ngram_jaccard, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
+from barsmith.llm import byte_bpe, embedding_dedup, line_dedup, ngram_jaccard, packing, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
 from barsmith.sources.tables import read_table
 
 # The rules of the URL query, (verdict, host and path).
@@ -36,11 +36,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shuffle_shard.shard(read_table(spark, sf_dir, "documents"), 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -62,7 +71,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_quality_rules, op5_ngram_jaccard, op7_sharding, op8_toxicity, op9_byte_bpe, op10_line_dedup)
+    f.__name__: f for f in (
+        op1_url_filter, op2_token_counts, op3_quality_rules, op4_packing, op5_ngram_jaccard, op6_embedding_dedup, op7_sharding,
+        op8_toxicity, op9_byte_bpe, op10_line_dedup)
 }
 
 ORACLES: dict[str, str] = {}

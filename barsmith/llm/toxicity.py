@@ -8,8 +8,8 @@ score through a logistic calibration whose 0.5 lies at the cut with the best
 F1 on held-back training rows.
 
 The toxic dictionary is trained on the stretches of toxic texts that tell the
-classes apart (runs of six-character strings much more frequent there); the
-ordinary one on windows of ordinary texts.  The toxic compressor has both as
+classes apart (runs of six-character strings much more frequent there, beyond
+chance), the ordinary one on windows of ordinary texts.  The toxic compressor has both as
 its content, so an ordinary window is compressed alike by both and the
 difference shows toxic stretches alone.  A fixed lead before every window,
 known to both, keeps short windows above the size that zstd stores raw.
@@ -43,6 +43,9 @@ SAMPLE = 6000  # labelled rows of each class
 WINDOW = 96
 GRAM = 6
 GRAMS = 4000
+# a string tells the classes apart if it is so many times as frequent in toxic
+# texts and that is no chance; at least so many strings do
+ODDS, SURPLUS, FEW = 12, 8.0, 40
 BASE_WINDOWS = 20_000
 BASE_SIZE, TOXIC_SIZE = 16_384, 1024
 LEAD = b"<~window~of~text~begins~here~:~> "
@@ -166,13 +169,17 @@ def _best_cut(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def _train(samples: list[bytes], size: int) -> bytes:
-    """The trained dictionary; the samples themselves where there are too few."""
+    """The trained dictionary; the samples themselves where they all fit or
+    are too few to train on."""
     import zstandard as zstd
 
-    try:
-        return zstd.train_dictionary(size, samples, k=8 if size < 4096 else 64, d=6, level=3).as_bytes()
-    except zstd.ZstdError:
-        return b"".join(dict.fromkeys(reversed(samples)))[-size:]
+    distinct = list(dict.fromkeys(samples))
+    if sum(map(len, distinct)) > size:
+        try:
+            return zstd.train_dictionary(size, samples, k=8 if size < 4096 else 64, d=6, level=3).as_bytes()
+        except zstd.ZstdError:
+            pass
+    return b"".join(reversed(distinct))[-size:]
 
 
 def _stretches(words: list[tuple[str, int]], kept: set[str]) -> dict[str, int]:
@@ -194,11 +201,22 @@ def _stretches(words: list[tuple[str, int]], kept: set[str]) -> dict[str, int]:
 
 
 def _samples(runs: dict[str, int]) -> list[bytes]:
-    each = [r for r, n in sorted(runs.items(), key=lambda x: (-x[1], x[0])) for _ in range(min(n, 40))]
+    """Samples for training: runs in mixed order, the frequent ones more
+    often, eight a sample; or just the runs, if few."""
+    ordered = sorted(runs.items(), key=lambda x: (-x[1], x[0]))
+    if sum(len(r.encode()) for r in runs) <= TOXIC_SIZE:
+        return [r.encode() for r, _ in ordered]
+    each = [r for r, n in ordered for _ in range(min(n, 40))]
     order = np.random.default_rng(0).permutation(len(each))
     return ["".join(each[i] for i in order[k:k + 8]).encode() for k in range(0, len(each), 8)]
 
 
+def _surplus(seen: Column, expected: Column) -> Column:
+    """How far a count lies above its expectation: the exponent of the chance
+    to see so many (0 if it lies below)."""
+    return F.when(seen > expected, seen * F.log(seen / expected) - (seen - expected)).otherwise(0.0)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFrame:
     """(y, half, text) of at most SAMPLE labelled rows of each class; ``learn``
     says over column ``doc_id`` which labels may be used."""
@@ -231,9 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_c
              .select("k1", "k0", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - (GRAM - 1), F.lit(1))),
                                                                         lambda i: F.substring(F.col("w"), i, F.lit(GRAM))))).alias("gram"))
              .groupBy("gram").agg(F.sum("k1").alias("k1"), F.sum("k0").alias("k0"))
-             .filter((F.col("k1") >= max(3, 0.004 * n1)) & ((F.col("k1") + 0.5) / n1 > 12 * (F.col("k0") + 0.5) / n0))
-             .orderBy(F.desc("k1"), "gram").limit(GRAMS))
-    kept = {r["gram"] for r in grams.collect()}  # at most GRAMS
+             .filter((F.col("k1") >= 3) & ((F.col("k1") + 0.5) / n1 > ODDS * (F.col("k0") + 0.5) / n0)).withColumn("surplus", _surplus(F.col("k1"), (F.col("k0") + F.col("k1")) * (n1 / (n0 + n1))))
+             .orderBy(F.desc("surplus"), "gram").limit(GRAMS))
+    grams = grams.collect()  # at most GRAMS
+    kept = {r["gram"] for k, r in enumerate(grams) if r["surplus"] >= SURPLUS or k < FEW}
     toxic_words = words.filter("k1 >= 2").orderBy(F.desc("k1"), "word").limit(4 * GRAMS).collect()
     runs = _stretches([(r["word"], r["k1"]) for r in toxic_words], kept)
 
@@ -273,7 +292,7 @@ def _features(rows: DataFrame, model: Model, key: str, kind: str) -> DataFrame:
 
 
 def scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` (all its columns) with ``_toxic_score``."""
+    """``docs`` (all its columns) with ``__toxic_score``."""
     session(docs.sparkSession)
     names = docs.columns
     rows = docs.withColumn("__toxicity_text", text_of(text_col))
@@ -284,11 +303,11 @@ def scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFram
         c = model.compressors() if model.weights else None
         for b in slices(batches, "__toxicity_text", SLICE_BYTES):
             f = features(b.column("__toxicity_text"), c) if c else np.zeros((b.num_rows, 4))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(model.score(f))], names=[*names, "_toxic_score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(model.score(f))], names=[*names, "__toxic_score"])
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return rows.mapInArrow(measure, StructType([*docs.schema.fields]).add("_toxic_score", DoubleType()))
+    return rows.mapInArrow(measure, StructType([*docs.schema.fields]).add("__toxic_score", DoubleType()))
 
 
 def held_out(c: Column) -> Column:
@@ -301,5 +320,11 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     model = fit(docs, labels, ~held_out(F.col("doc_id")), id_col=id_col, text_col=text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = scores(rows, model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_toxic_score").alias("score"),
-                      (F.col("_toxic_score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__toxic_score").alias("score"),
+                      (F.col("__toxic_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not called toxic."""
+    model = fit(docs, labels, ~held_out(F.col("doc_id")), id_col=id_col, text_col=text_col)
+    return scores(docs, model, text_col=text_col).filter("__toxic_score < 0.5").select(*docs.columns)
