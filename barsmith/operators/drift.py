@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barsmith.operators.quantiles import running
 from barsmith.params import DriftParams, DEFAULT_DRIFT
 
 
@@ -78,18 +79,19 @@ def live_slot_counts(ref: DataFrame, live_long: DataFrame, by=()) -> DataFrame:
     mid-points below the value, eq = value equals a mid-point, b = PSI bin."""
     by = list(by)
     # one row per feature (bounded by the schema): broadcast to the live rows
-    live = live_long.filter(F.col("value").isNotNull()).join(F.broadcast(ref), "feature")
+    live = live_long.join(F.broadcast(ref), "feature")
     x = F.col("value")
+    # NULL values keep their feature present: a slot of count 0
     return live.select(
-        *by, "feature",
-        F.size(F.filter("mids", lambda m: m < x)).alias("j"),
+        *by, "feature", "value",
+        F.when(x.isNotNull(), F.size(F.filter("mids", lambda m: m < x))).alias("j"),
         F.exists("mids", lambda m: m == x).alias("eq"),
         _psi_bin(x, F.col("edges")).alias("b"),
-    ).groupBy(*by, "feature", "j", "eq", "b").agg(F.count(F.lit(1)).alias("c"))
+    ).groupBy(*by, "feature", "j", "eq", "b").agg(F.count("value").alias("c"))
 
 
 def drift_features(baseline: DataFrame, live_long: DataFrame,
-                   params: DriftParams = DEFAULT_DRIFT, by=()) -> DataFrame:
+                   params: DriftParams = DEFAULT_DRIFT, by=(), live_columns: list[str] | None = None) -> DataFrame:
     """K3: per feature ks_statistic, ks_p_value, ks_drifted, psi, psi_severity.
 
     ``live_long``: (by..., feature, value) — ``by`` keys (e.g. a time
@@ -113,7 +115,7 @@ def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEF
     # ---- KS over the K mid-points --------------------------------------------
     K = F.size("mids")
     nb = F.col("n_b").cast("double")
-    nl = F.col("n_l").cast("double")
+    nl = F.greatest(F.col("n_l"), F.lit(1)).cast("double")   # 0 is a small sample below
     cum_b = F.transform(F.sequence(F.lit(1), K),
                         lambda k: F.aggregate(F.slice("counts", 1, k), F.lit(0).cast("long"),
                                               lambda a, c: a + c))
@@ -236,27 +238,15 @@ def ks_two_sample(df: DataFrame, keys: list[str], sample: str = "sample", value:
     """K1 on two raw samples per key (``sample`` is 'a' / 'b'):
     D = max over values |F_a - F_b| (right-continuous ECDFs), p, drifted.
 
-    Distributed prefix sums: counts per distinct (key, value) are range
-    partitioned by (key, value); a (partition, key) totals table gives each
-    slice's offset, and the in-slice running sum is a window over one range
-    slice — a hot key is spread over many slices.
+    Distributed prefix sums over counts per distinct (key, value), see
+    :func:`barsmith.operators.quantiles.running`.
     """
     keys = list(keys)
     d = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
         F.count_if(F.col(sample) == "a").alias("_ca"), F.count_if(F.col(sample) == "b").alias("_cb"))
-    d = (d.repartitionByRange(*keys, value).sortWithinPartitions(*keys, value)
-          .select("*", F.spark_partition_id().alias("_pid")))
-    tot = d.groupBy("_pid", *keys).agg(F.sum("_ca").alias("_ta"), F.sum("_cb").alias("_tb"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", *keys,
-                      F.coalesce(F.sum("_ta").over(w), F.lit(0)).alias("_oa"),
-                      F.coalesce(F.sum("_tb").over(w), F.lit(0)).alias("_ob"),
-                      F.sum("_ta").over(Window.partitionBy(*keys)).alias("n_a"),
-                      F.sum("_tb").over(Window.partitionBy(*keys)).alias("n_b"))
-    ws = Window.partitionBy("_pid", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cum = d.select(*keys, "_pid", value, F.sum("_ca").over(ws).alias("_la"), F.sum("_cb").over(ws).alias("_lb"))
-    j = cum.join(offs, ["_pid", *keys])      # offsets: partitions x keys rows
-    gap = F.abs((F.col("_oa") + F.col("_la")) / F.col("n_a") - (F.col("_ob") + F.col("_lb")) / F.col("n_b"))
+    j = running(d, keys, value, ["_ca", "_cb"])
+    gap = F.abs((F.col("_ca_before") + F.col("_ca")) / F.col("n_a") - (F.col("_cb_before") + F.col("_cb")) / F.col("n_b"))
+    j = j.withColumnRenamed("_ca_all", "n_a").withColumnRenamed("_cb_all", "n_b")
     g = j.groupBy(*keys).agg(F.max(gap).alias("ks_statistic"), F.max("n_a").alias("n_a"),
                              F.max("n_b").alias("n_b"))
     small = F.col("n_b") < params.min_feature_samples

@@ -59,7 +59,7 @@ def baseline_stats(df: DataFrame, features: list[str], *, bins: int = 20,
         F.count(F.lit(1)).alias("n_samples"))
     mom = mom.withColumn("bin_edges", hist_edges(F.col("min"), F.col("max"), bins))
     # histogram: join each value with its feature's edges (<= #features rows)
-    hist = (long.join(mom.select("feature", "bin_edges"), "feature")
+    hist = (long.join(F.broadcast(mom.select("feature", "bin_edges")), "feature")
                 .withColumn("bin", bin_index(F.col("value"), F.col("bin_edges"), bins))
                 .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("c")))
     grid = mom.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
