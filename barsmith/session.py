@@ -57,13 +57,15 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests) a new
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; where it is unset, a local session
+    (tests) gets a new scratch folder and any other master an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="barsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

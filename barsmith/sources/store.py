@@ -31,12 +31,16 @@ def write_features(df: DataFrame, path: str, *, by=("ticker",), mode: str = "ove
 
 
 def read_panel(spark: SparkSession, path: str, require: str | None = "target") -> DataFrame:
-    """Every partition, schemas merged by name; ``require`` drops
-    files without that column (they read as NULL)."""
+    """Every partition, schemas merged by name; files in which ``require``
+    is missing (or never filled) are left out."""
     df = spark.read.option("mergeSchema", True).parquet(path)
-    if require and require not in df.columns:
+    if not require:
+        return df
+    if require not in df.columns:
         raise ValueError(f"no file under {path} has column {require!r}")
-    return df
+    named = df.withColumn("_file", F.col("_metadata.file_path"))
+    files = named.groupBy("_file").agg(F.count(require).alias("_n")).filter("_n > 0").select("_file")
+    return named.join(files, "_file", "left_semi").drop("_file")
 
 
 def read_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:
@@ -102,11 +106,3 @@ def vendor_documents(bars: DataFrame) -> DataFrame:
             .when(mi == 5, F.to_json(F.struct(F.lit("Invalid API call").alias("Error Message"))))
             .otherwise(F.to_json(F.struct(F.col("_series").alias(SERIES_KEY)))))
     return pages.select("ticker", "month", doc.alias("value"))
-
-
-def dedupe_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per ``key`` — the first by ``order`` (deterministic,
-    mergeable ``min_by`` instead of a window)."""
-    cols = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*cols), F.struct(order, *[c for c in cols if c != order]))
-    return df.groupBy(key).agg(first.alias("_f")).select(key, *[F.col(f"_f.{c}").alias(c) for c in cols])

@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType
 
 from barsmith.session import checkpoint_dir
 from barsmith.sources.tables import read_table
@@ -45,17 +44,20 @@ def run_to_table(sdf: DataFrame, name: str, *, mode: str = "append", keys=None)
     root = _scratch(spark, name)
     out, ckpt = os.path.join(root, "data"), os.path.join(root, "checkpoint")
 
+    written: set[int] = set()
+
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # the batch's own folder: a replay overwrites what it wrote before
         (batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-              .write.mode("append").parquet(os.path.join(out, f"{BATCH}={batch_id}")))
+              .write.mode("overwrite").parquet(os.path.join(out, f"{BATCH}={batch_id}")))
+        written.add(batch_id)
 
     q = (sdf.writeStream.outputMode(mode).foreachBatch(sink)
             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        res = spark.read.parquet(os.path.join(out, f"{BATCH}=*"))
-    except Exception:  # noqa: BLE001  — no batch produced rows
+    if not written:
         return spark.createDataFrame([], sdf.schema)
+    res = spark.read.parquet(os.path.join(out, f"{BATCH}=*"))
     cols = [c for c in res.columns if c != BATCH]
     if keys:
         rest = [c for c in cols if c not in keys]
@@ -67,9 +69,6 @@ def run_to_table(sdf: DataFrame, name: str, *, mode: str = "append", keys=None)
 # ---------------------------------------------------------------------------
 # ST4: keyed, capped ring buffer (custom state)
 # ---------------------------------------------------------------------------
-_LASTN_STATE = StructType([StructField("ids", LongType()), StructField("ts_us", LongType())])
-
-
 def last_n_stream(events: DataFrame, n: int = 1000, salts: int = 16) -> DataFrame:
     """Per (event_type, salt) keep the newest ``n`` (ts, event_id) in state.
 
@@ -84,11 +83,9 @@ def last_n_stream(events: DataFrame, n: int = 1000, salts: int = 16) -> DataFram
 
     def keep_newest(key, pdfs, state):
         ids, tss = ([], []) if not state.exists else (list(state.get[0]), list(state.get[1]))
-        for pdf in pdfs:
-            ids.extend(pdf["event_id"].tolist())
-            tss.extend(pdf["ts_us"].tolist())
-        buf = pd.DataFrame({"event_id": ids, "ts_us": tss}).sort_values(
-            ["ts_us", "event_id"], ascending=False).head(n)
+        buf = pd.DataFrame({"event_id": ids, "ts_us": tss})
+        for pdf in pdfs:  # cut back to n after every chunk
+            buf = pd.concat([buf, pdf[["event_id", "ts_us"]]]).sort_values(["ts_us", "event_id"], ascending=False).head(n)
         state.update((buf["event_id"].tolist(), buf["ts_us"].tolist()))
         yield pd.DataFrame({"event_type": key[0], "salt": key[1],
                             "event_id": buf["event_id"].astype("int64"), "ts_us": buf["ts_us"].astype("int64")})
@@ -97,4 +94,4 @@ def last_n_stream(events: DataFrame, n: int = 1000, salts: int = 16) -> DataFram
         keep_newest, out_schema, state_schema, "update", GroupStateTimeout.NoTimeout)
 
 
-__all__ = ["table_stream", "run_to_table", "last_n_stream", "_LASTN_STATE"]
+__all__ = ["table_stream", "run_to_table", "last_n_stream"]
