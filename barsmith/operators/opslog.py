@@ -46,9 +46,10 @@ def latency_buckets(lat: DataFrame, ts: str = "ts", value: str = "latency_ms",
     return q.orderBy(F.desc("bucket")).limit(keep)
 
 
-def last_n(df: DataFrame, n: int = 1000, order: str = "ts") -> DataFrame:
-    """Newest ``n`` rows (top-k: a bounded per-partition heap, no full sort)."""
-    return df.orderBy(F.desc(order)).limit(n)
+def last_n(df: DataFrame, n: int = 1000, order: str = "ts", tiebreak: str = "event_id") -> DataFrame:
+    """Newest ``n`` rows (top-k: a bounded per-partition heap, no full
+    sort); ties at the cut go to the larger ``tiebreak``."""
+    return df.orderBy(F.desc(order), F.desc(tiebreak)).limit(n)
 
 
 # ---- A12 alarm --------------------------------------------------------------------
@@ -139,16 +140,20 @@ def drift_metrics_long(report: DataFrame, features: DataFrame, ticker: str = "AL
     return rep.unionByName(feat)
 
 
+# Published metric names of the model metrics.
+MODEL_METRICS = {"Model_RMSE": "rmse", "Model_MAE": "mae", "Directional_Accuracy": "directional_accuracy"}
+
+
 def model_metrics_long(metrics: DataFrame, ticker: Column, version: Column,
                        ts: Column | None = None) -> DataFrame:
-    """RMSE, MAE, DirectionalAccuracy rows with (Ticker, ModelVersion) dims."""
+    """Error metric rows (unit None) with (Ticker, ModelVersion) dims."""
     ts = ts if ts is not None else F.current_timestamp()
     dims = F.create_map(F.lit("Ticker"), ticker, F.lit("ModelVersion"), version)
     def row(name, c):
-        return F.struct(F.lit(name).alias("name"), F.col(c).cast("double").alias("value"))
+        return F.struct(F.lit(name).alias("name"), F.col(c).cast("double").alias("value"), F.lit("None").alias("unit"))
 
     return metrics.select(ts.alias("ts"), dims.alias("dims"), F.inline(F.array(
-        row("RMSE", "rmse"), row("MAE", "mae"), row("DirectionalAccuracy", "directional_accuracy"))))
+        *(row(name, c) for name, c in MODEL_METRICS.items()))))
 
 
 # ---- J4 / K6 / U2 history append ---------------------------------------------------------

@@ -14,7 +14,7 @@ from barsmith.sources.bars import missing_columns
 
 # Required bar columns, the ticker pattern, batch bounds.
 REQUIRED = ["open", "high", "low", "close", "volume"]
-TICKER_RE = r"^[A-Z]{1,5}$"
+TICKER_RE = r"\A[A-Z]{1,5}\z"
 BATCH_MIN, BATCH_MAX = 1, 500
 N_FEATURES = 30
 
@@ -90,8 +90,9 @@ def assert_valid(bars: DataFrame, **kw) -> None:
 
 
 def normalize_ticker(raw: Column) -> Column:
-    """Strip + upper."""
-    return F.upper(F.trim(raw))
+    """Strip (any white space) + upper."""
+    white = r"[\s\x1c-\x1f\x85\p{Z}]+"
+    return F.upper(F.regexp_replace(raw, rf"\A{white}|{white}\z", ""))
 
 
 def ticker_is_valid(raw: Column) -> Column:

@@ -51,7 +51,10 @@ def with_ordinal(df: DataFrame, by: list[str], order: str, *, period: str = "mon
     )
     # offs has one row per (series, period): the optimizer broadcasts it
     # when its measured size allows, otherwise a shuffle join.
-    d = d.join(offs, [*by, per])
+    # NULL tickers and dates are series and periods of their own
+    offs = offs.select(*[F.col(c).alias(f"_{c}_o") for c in (*by, per)], *[c for c in offs.columns if c not in (*by, per)])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_o")) for c in (*by, per)]
+    d = d.join(offs, same).drop(*[f"_{c}_o" for c in (*by, per)])
     rn = F.row_number().over(Window.partitionBy(*by, per).orderBy(order, *tiebreak))
     return d.withColumn(ORD, F.col("_off") + rn - 1).drop("_off", per)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from barsmith.operators.features import feature_matrix
 from barsmith.operators.profile import baseline_stats
 from barsmith.plans import sql as Q
+from barsmith.params import DEFAULT_FEATURES
 from barsmith.plans.registry import R, query, rounded
 from barsmith.sources import bars as SB
 from barsmith.sources import store as ST
@@ -67,7 +68,7 @@ def q_json_series_rejects(spark, sf_dir):
 
 
 # ---- S6 / S8 / S9 / S10 / S11 ----------------------------------------------------
-_STORE_COLS = ["ticker", "date", "rsi_14", "sma_5", "target"]
+_STORE_COLS = ["ticker", "date", *DEFAULT_FEATURES.feature_names(), "target"]
 
 
 def _write_fm(spark, sf_dir, name):

@@ -56,7 +56,7 @@ def q_latency_buckets(spark, sf_dir):
     return O.latency_buckets(latency_view(spark, sf_dir))
 
 
-@query("last_n_log", "SELECT event_id, ts FROM events ORDER BY ts DESC LIMIT 1000")
+@query("last_n_log", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def q_last_n_log(spark, sf_dir):
     """The newest 1000 requests (the ring buffer's content)."""
     return O.last_n(read_table(spark, sf_dir, "events").select("event_id", "ts"), 1000)
@@ -94,16 +94,22 @@ CLASS_SQL = f"""
        ELSE 'scheduled' END"""
 
 
-def job_events(spark, sf_dir):
-    """Pipeline job events derived from ``events`` (five event shapes)."""
-    ev = read_table(spark, sf_dir, "events")
+def job_events(spark, sf_dir, keep=(), ev=None):
+    """Pipeline job events derived from ``events`` (five event shapes), batch
+    or stream; ``keep`` names further columns to carry."""
+    ev = read_table(spark, sf_dir, "events") if ev is None else ev
     et, eid = F.col("event_type"), F.col("event_id").cast("string")
     source = F.when(et == "click", "aws.events").when(et == "signup", "manual")
     dtype = F.when(et == "error", O.PROCESSING_EVENT).when(et == "purchase", O.TRAINING_EVENT)
     pre = F.when(F.col("event_id") % 4 == 0, "stock-ingest-").when(F.col("event_id") % 4 == 1, "other-") \
         .otherwise("drift-check-")
     job = F.when(et == "error", F.concat(pre, eid)).when(et == "purchase", F.concat(F.lit("stock-train-"), eid))
-    return ev.select("event_id", "ts", source.alias("source"), dtype.alias("detail_type"), job.alias("job_name"))
+    return ev.select("event_id", "ts", source.alias("source"), dtype.alias("detail_type"), job.alias("job_name"), *keep)
+
+
+def captures_exist(spark, sf_dir):
+    """One row: is there any capture line (reads one at most)."""
+    return C.capture_lines(spark, sf_dir).limit(1).agg((F.count(F.lit(1)) > 0).alias("captures_exist"))
 
 
 @query("job_event_class", lambda: Q.cte(j=JOB_SQL) + f"SELECT event_id, {CLASS_SQL} AS kind FROM j")
@@ -157,7 +163,7 @@ FROM j CROSS JOIN rep""")
 def q_job_next_action(spark, sf_dir):
     """Each job event -> the orchestrator's next action (a decision
     table joined with the latest report and whether captures exist)."""
-    caps = C.capture_lines(spark, sf_dir).agg((F.count(F.lit(1)) > 0).alias("captures_exist"))
+    caps = captures_exist(spark, sf_dir)
     st = F.broadcast(_report_state(spark, sf_dir).crossJoin(caps))   # one row
     j = job_events(spark, sf_dir).crossJoin(st)
     kind = O.classify_event(F.col("source"), F.col("detail_type"), F.col("job_name"))
@@ -196,9 +202,7 @@ LOG_SQL = f"""
 
 
 def log_lines(spark, sf_dir):
-    j = job_events(spark, sf_dir)
-    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type")
-    d = j.join(ev, "event_id")
+    d = job_events(spark, sf_dir, keep=["event_type"])
     kind = O.classify_event(F.col("source"), F.col("detail_type"), F.col("job_name"))
     et, eid = F.col("event_type"), F.col("event_id").cast("string")
     msg = (F.when(et == "click", F.concat(F.lit("Determined source: "), kind))
@@ -294,14 +298,18 @@ def q_drift_history_append(spark, sf_dir):
     return rounded(O.append_if_new(hist, new.unionByName(dup)).orderBy("timestamp"))
 
 
-@query("ks_pivot", lambda: Q.cte(**_win_ctes()) + """
-PIVOT (SELECT feature, strftime(wend, '%Y-%m-%d') AS d, """ + sql_round("ks_statistic", 6) +
-       """ AS ks FROM drift) ON d USING avg(ks) GROUP BY feature""")
+# the live windows of January 2024: seven-day windows that end on these days
+WINDOW_ENDS = [f"2024-01-{d:02d}" for d in range(22, 32)] + [f"2024-02-{d:02d}" for d in range(1, 7)]
+
+
+@query("ks_pivot", lambda: Q.cte(**_win_ctes()) + "SELECT feature, " + ", ".join(
+    f"avg(CASE WHEN strftime(wend, '%Y-%m-%d') = '{d}' THEN " + sql_round("ks_statistic", 6) + f' END) AS "{d}"' for d in WINDOW_ENDS) +
+       " FROM drift GROUP BY feature")
 def q_ks_pivot(spark, sf_dir):
     """Feature x window, mean KS statistic."""
     feats, _ = windowed_drift(spark, sf_dir)
     p = feats.select("feature", F.date_format("wend", "yyyy-MM-dd").alias("d"), "ks_statistic") \
-        .groupBy("feature").pivot("d").avg("ks_statistic")
+        .groupBy("feature").pivot("d", WINDOW_ENDS).avg("ks_statistic")
     return rounded(p)
 
 
@@ -354,9 +362,9 @@ def _model_metrics_sql():
               " FROM g3, nm WHERE split IN ('val', 'test') GROUP BY split"})
     return Q.cte(**c) + f"""
 SELECT TIMESTAMP '{REPORT_TS}' AS ts, MAP {{'Ticker': 'ALL', 'ModelVersion': 'naive-mean-' || split}} AS dims,
-       name, {sql_round('value', 4)} AS value FROM (
-  SELECT split, 'RMSE' AS name, rmse AS value FROM mt UNION ALL SELECT split, 'MAE', mae FROM mt
-  UNION ALL SELECT split, 'DirectionalAccuracy', directional_accuracy FROM mt)"""
+       name, {sql_round('value', 4)} AS value, 'None' AS unit FROM (
+  SELECT split, 'Model_RMSE' AS name, rmse AS value FROM mt UNION ALL SELECT split, 'Model_MAE', mae FROM mt
+  UNION ALL SELECT split, 'Directional_Accuracy', directional_accuracy FROM mt)"""
 
 
 @query("model_metrics_long", _model_metrics_sql)

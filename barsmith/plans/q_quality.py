@@ -137,41 +137,43 @@ def q_validate_ticker(spark, sf_dir):
 
 
 # ---- R1 / R2 / Q3 vectors -----------------------------------------------------
+VEC_N = 64      # components of an embedding
+
+
 VEC_SQL = f"""
   SELECT vec_id, label,
-    CASE WHEN vec_id % 7 = 0 THEN CAST(embedding AS DOUBLE[])
+    CASE WHEN vec_id % 7 = 0 THEN CAST(embedding[1:{VEC_N - 1}] AS DOUBLE[])
          WHEN vec_id % 11 = 0 THEN list_concat(CAST(embedding[1:4] AS DOUBLE[]), [CAST('nan' AS DOUBLE)],
-                                               CAST(embedding[6:{QL.N_FEATURES}] AS DOUBLE[]))
-         ELSE CAST(embedding[1:{QL.N_FEATURES}] AS DOUBLE[]) END AS features
+                                               CAST(embedding[6:{VEC_N}] AS DOUBLE[]))
+         ELSE CAST(embedding AS DOUBLE[]) END AS features
   FROM embeddings"""
 
 
 def vectors(spark, sf_dir):
-    """Request vectors from ``embeddings``: the first 30 values; every 7th id
-    keeps all values (wrong length), every 11th gets a NaN at index 4."""
+    """Request vectors: the whole ``embeddings``; every 7th id lacks its last
+    value (wrong length), every 11th gets a NaN at index 4."""
     e = read_table(spark, sf_dir, "embeddings")
     emb = F.col("embedding").cast("array<double>")
-    n = QL.N_FEATURES
-    nan_vec = F.concat(F.slice(emb, 1, 4), F.array(F.lit(float("nan"))), F.slice(emb, 6, n - 5))
-    v = (F.when(F.col("vec_id") % 7 == 0, emb)
+    nan_vec = F.concat(F.slice(emb, 1, 4), F.array(F.lit(float("nan"))), F.slice(emb, 6, VEC_N - 5))
+    v = (F.when(F.col("vec_id") % 7 == 0, F.slice(emb, 1, VEC_N - 1))
           .when(F.col("vec_id") % 11 == 0, nan_vec)
-          .otherwise(F.slice(emb, 1, n)))
+          .otherwise(emb))
     return e.select("vec_id", "label", v.alias("features"))
 
 
 @query("validate_vector", lambda: Q.cte(v=VEC_SQL) + f"""
 SELECT vec_id,
-  len(features) = {QL.N_FEATURES} AND len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AS valid,
-  list_concat(CASE WHEN len(features) <> {QL.N_FEATURES} THEN ['Expected {QL.N_FEATURES} features, got ' || len(features)] ELSE [] END,
-              CASE WHEN len(features) = {QL.N_FEATURES} THEN list_filter(list_transform(range(len(features)),
+  len(features) = {VEC_N} AND len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AS valid,
+  list_concat(CASE WHEN len(features) <> {VEC_N} THEN ['Expected {VEC_N} features, got ' || len(features)] ELSE [] END,
+              CASE WHEN len(features) = {VEC_N} THEN list_filter(list_transform(range(len(features)),
                    lambda i: CASE WHEN features[i + 1] IS NULL OR isnan(features[i + 1]) OR isinf(features[i + 1])
                                   THEN 'Feature[' || i || '] is not finite' END), lambda s: s IS NOT NULL)
                    ELSE [] END) AS problems
 FROM v""")
 def q_validate_vector(spark, sf_dir):
     v = vectors(spark, sf_dir)
-    return v.select("vec_id", vector_is_valid(F.col("features"), QL.N_FEATURES).alias("valid"),
-                    vector_problems(F.col("features"), QL.N_FEATURES).alias("problems"))
+    return v.select("vec_id", vector_is_valid(F.col("features"), VEC_N).alias("valid"),
+                    vector_problems(F.col("features"), VEC_N).alias("problems"))
 
 
 @query("validate_batch", lambda: Q.cte(v=VEC_SQL) + f"""
@@ -185,9 +187,9 @@ def q_validate_batch(spark, sf_dir):
 
 @query("request_quarantine", lambda: Q.cte(v=VEC_SQL) + f"""
 SELECT vec_id,
-  CASE WHEN len(features) = {QL.N_FEATURES} AND len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  CASE WHEN len(features) = {VEC_N} AND len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
        THEN 'accepted' ELSE 'quarantined' END AS status,
-  CASE WHEN len(features) <> {QL.N_FEATURES} THEN 'Expected {QL.N_FEATURES} features, got ' || len(features)
+  CASE WHEN len(features) <> {VEC_N} THEN 'Expected {VEC_N} features, got ' || len(features)
        WHEN len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR isinf(x))) > 0 THEN
          'Feature[' || (list_position(list_transform(features, lambda x: x IS NULL OR isnan(x) OR isinf(x)), true) - 1)
          || '] is not finite' END AS reason
@@ -195,7 +197,7 @@ FROM v""")
 def q_request_quarantine(spark, sf_dir):
     """Q3: accepted vs quarantined vectors with the first reason."""
     v = vectors(spark, sf_dir)
-    probs = vector_problems(F.col("features"), QL.N_FEATURES)
-    ok = vector_is_valid(F.col("features"), QL.N_FEATURES)
+    probs = vector_problems(F.col("features"), VEC_N)
+    ok = vector_is_valid(F.col("features"), VEC_N)
     return v.select("vec_id", F.when(ok, "accepted").otherwise("quarantined").alias("status"),
                     F.try_element_at(probs, F.lit(1)).alias("reason"))

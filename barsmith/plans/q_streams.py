@@ -98,7 +98,7 @@ def q_stream_latency_buckets(spark, sf_dir):
 
 
 # ---- ST4 last-N state -----------------------------------------------------------------------
-@query("stream_last_n", "SELECT event_id, ts FROM events ORDER BY ts DESC LIMIT 1000")
+@query("stream_last_n", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def q_stream_last_n(spark, sf_dir):
     """Custom stateful operator: capped per-key buffers, merged to the newest 1000."""
     buf = run_to_table(last_n_stream(_events(spark, sf_dir)), "last-n", mode="update")
@@ -133,18 +133,11 @@ def q_stream_alarm(spark, sf_dir):
 @query("stream_job_actions", lambda: _REGISTRY["job_next_action"][1]())
 def q_stream_job_actions(spark, sf_dir):
     """Stream-static join of job events with the latest report (one row)."""
-    caps = C.capture_lines(spark, sf_dir).agg((F.count(F.lit(1)) > 0).alias("captures_exist"))
+    caps = QO.captures_exist(spark, sf_dir)
     # one row, materialised so the stream joins a plain table
     state = F.broadcast(materialize(QO._report_state(spark, sf_dir).crossJoin(caps), "job-state"))
-    ev = _events(spark, sf_dir)
-    et, eid = F.col("event_type"), F.col("event_id").cast("string")
-    source = F.when(et == "click", "aws.events").when(et == "signup", "manual")
-    dtype = F.when(et == "error", O.PROCESSING_EVENT).when(et == "purchase", O.TRAINING_EVENT)
-    pre = F.when(F.col("event_id") % 4 == 0, "stock-ingest-").when(F.col("event_id") % 4 == 1, "other-") \
-        .otherwise("drift-check-")
-    job = F.when(et == "error", F.concat(pre, eid)).when(et == "purchase", F.concat(F.lit("stock-train-"), eid))
-    kind = O.classify_event(source, dtype, job)
-    j = ev.crossJoin(state)
+    j = QO.job_events(spark, sf_dir, ev=_events(spark, sf_dir)).crossJoin(state)
+    kind = O.classify_event(F.col("source"), F.col("detail_type"), F.col("job_name"))
     trig, _ = O.report_freshness(F.col("ts"), F.lit(QO.REPORT_TS).cast("timestamp"), F.col("trigger_retraining"))
     s = j.select("event_id", kind.alias("kind"), O.next_action(kind, F.col("captures_exist"), trig).alias("action"))
     return run_to_table(s, "job-actions")
