@@ -16,13 +16,17 @@ A document's set holds the hashes of its distinct five-word shingles.  Links
    fills a range alone, which keeps buckets of unlike sets small.
 2. Tiles.  Buckets with the same members are reduced to one.  A bucket is dealt
    out in tiles of at most ``TILE`` sets, and each pair of tiles is one unit
-   of work, so no task gathers a whole bucket.
-3. Verification.  In a tile pair sets are walked breadth-first from one to the
-   next: only sets not yet reached are compared.  Sizes, then the bit counts
-   of hashed bitmaps (each differing bit is at least one differing element,
-   which bounds the overlap from above), then exact intersection of the sorted
-   arrays decide.  A tile pair gives a spanning forest of its links, never all
-   pairs; :mod:`graph` joins the forests.
+   of work, so no task gathers a whole bucket.  Units see the sets' sizes and
+   hashed bitmaps (about four bits an element) only: each differing bit is at
+   least one differing element, so bit counts bound the overlap from above and
+   tell which sets of a unit may link.
+3. Verification.  A unit's possible links are walked breadth-first, and only
+   the steps of the walk, a spanning forest, are verified by exact
+   intersection of the sorted arrays, each pair once however many units give
+   it.  That leaves the units in which a possible link joins sets that are not
+   connected by verified links: for their sets, all pairs that are not yet
+   connected are compared exactly, bit counts first.  Neither step ever gives
+   all pairs of a group; :mod:`graph` joins the links.
 
 Sets are 64-bit hashes; documents with the same set (128-bit digest) are one
 class and are compared once.
@@ -41,9 +45,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barsmith.llm import bloom
 from barsmith.llm.common import ascii_lower, session, text_of, words
 from barsmith.llm.graph import components
-from barsmith.llm.url_filter import bloom, possible_hits
 from barsmith.session import materialize
 
 WIDTH = 5  # words a shingle
@@ -128,46 +132,88 @@ def _split(owner: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.nd
     return owner[np.append(0, at)].tolist(), np.split(values, at)
 
 
-def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets`` (sorted hash arrays)."""
-    sizes = np.array([len(s) for s in sets])
-    bits = 1 << max(9, min(16, int(sizes.max()).bit_length()))
-    maps = np.zeros((len(sets), bits), dtype=bool)
-    for i, s in enumerate(sets):
-        maps[i, s.view(np.uint64) & np.uint64(bits - 1)] = True
-    maps = np.packbits(maps, axis=1).view(np.uint64)
-    open_, edges = np.ones(len(sets), dtype=bool), []
-    for seed in range(len(sets)):
+def bitmap(values: np.ndarray) -> np.ndarray:
+    """Hashed bitmap of a set: its low hash bits, in bytes (a power of two)."""
+    bits = 1 << max(8, min(20, (4 * len(values)).bit_length()))
+    out = np.zeros(bits, dtype=bool)
+    out[values.view(np.uint64) & np.uint64(bits - 1)] = True
+    return np.packbits(out, bitorder="little")
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps brought to the shortest one's length, as rows of 64-bit words:
+    folding keeps the rule that a differing bit is a differing element."""
+    width = min(len(m) for m in maps)
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, width), axis=0) for m in maps]).view(np.uint64)
+
+
+def possible(a: int, rest: np.ndarray, sizes: np.ndarray, maps: np.ndarray) -> np.ndarray:
+    """Those of ``rest`` that sizes and bit counts allow to link with ``a``."""
+    total = sizes[rest] + sizes[a]
+    near = 9 * np.minimum(sizes[rest], sizes[a]) >= 4 * total
+    rest, total = rest[near], total[near]
+    differ = np.bitwise_count(maps[rest] ^ maps[a]).sum(axis=1, dtype=np.int64)
+    return rest[9 * ((total - differ) // 2) >= 4 * total]  # the most they can share
+
+
+def walk(n: int, linked) -> list[tuple[int, int]]:
+    """A spanning forest of n items, breadth-first; ``linked(a, rest)`` gives
+    those of the items ``rest``, not yet reached, that a links with."""
+    open_, edges = np.ones(n, dtype=bool), []
+    for seed in range(n):
         if not open_[seed]:
             continue
         open_[seed], queue = False, [seed]
         while queue:
             a = queue.pop()
-            rest = np.flatnonzero(open_)
-            total = sizes[rest] + sizes[a]
-            rest = rest[9 * np.minimum(sizes[rest], sizes[a]) >= 4 * total]
-            if not len(rest):
-                continue
-            total = sizes[rest] + sizes[a]
-            differ = np.bitwise_count(maps[rest] ^ maps[a]).sum(axis=1, dtype=np.int64)
-            keep = 9 * ((total - differ) // 2) >= 4 * total  # the most they can share
-            rest, total = rest[keep], total[keep]
-            if not len(rest):
-                continue
-            flat = np.concatenate([sets[i] for i in rest])
-            at = np.searchsorted(sets[a], flat)
-            hit = sets[a][np.minimum(at, len(sets[a]) - 1)] == flat
-            starts = np.cumsum(sizes[rest]) - sizes[rest]
-            shared = np.add.reduceat(hit.astype(np.int64), starts)
-            for b in rest[9 * shared >= 4 * total].tolist():
+            for b in linked(a, np.flatnonzero(open_)).tolist():
                 open_[b] = False
                 edges.append((a, b))
                 queue.append(b)
     return edges
 
 
+def likely_forest(sizes: np.ndarray, maps: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links that sizes and bit counts allow."""
+    return walk(len(sizes), lambda a, rest: possible(a, rest, sizes, maps))
+
+
+def undecided(sizes: np.ndarray, maps: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """Which sets may link with one of another root."""
+    out = np.zeros(len(sizes), dtype=bool)
+    if len(set(roots.tolist())) > 1:
+        for a in range(len(sizes) - 1):
+            rest = a + 1 + np.flatnonzero(roots[a + 1:] != roots[a])
+            found = possible(a, rest, sizes, maps)
+            if len(found):
+                out[a] = out[found] = True
+    return out
+
+
+def shared_enough(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the sorted arrays have a Jaccard of 0.8 or more with ``a``."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    at = np.searchsorted(a, flat)
+    hit = a[np.minimum(at, len(a) - 1)] == flat
+    shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 9 * shared >= 4 * (sizes + len(a))
+
+
+def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets`` (sorted hash arrays)."""
+    sizes = np.array([len(s) for s in sets])
+    maps = folded([bitmap(s) for s in sets])
+
+    def linked(a, rest):
+        rest = possible(a, rest, sizes, maps)
+        return rest[shared_enough(sets[a], [sets[i] for i in rest])] if len(rest) else rest
+
+    return walk(len(sets), linked)
+
+
 def _keyed(batches: Iterable) -> Iterator:
-    """(id, set) -> (id, size, class digest, bucket keys)."""
+    """(id, row digest, set) -> (id, row digest, size, class digest, bucket keys)."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -186,49 +232,105 @@ def _keyed(batches: Iterable) -> Iterator:
         offsets = np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int32)
         values = np.concatenate([*keys, np.empty(0, dtype=np.int64)])
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(sizes), b.column("c1"), b.column("c2"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-            names=["doc_id", "n_shingles", "c1", "c2", "keys"])
+            [b.column("doc_id"), b.column("r1"), b.column("r2"), pa.array(sizes), b.column("c1"), b.column("c2"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+            names=["doc_id", "r1", "r2", "n_shingles", "c1", "c2", "keys"])
 
 
-def _linked(batches: Iterable) -> Iterator:
-    """Rows sorted by (key, i, j), each with its set -> links of classes."""
-    import pyarrow as pa
+def _units(batches: Iterable, columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[list]]]:
+    """((key, i, j), rows) of each unit, from Arrow rows sorted by unit;
+    a unit holds two tiles at most."""
+    unit, rows = None, []
+    for b in batches:
+        values = [list(b.column(c)) if c in ("set", "bits") else b.column(c).to_pylist() for c in columns]
+        keys = zip(b.column("key").to_pylist(), b.column("i").to_pylist(), b.column("j").to_pylist(), strict=True)
+        for row, *value in zip(keys, *values, strict=True):
+            if row != unit:
+                if rows:
+                    yield unit, rows
+                unit, rows = row, []
+            rows.append(value)
+    if rows:
+        yield unit, rows
 
-    unit, ids, sets = None, [], []
 
-    def links():
-        if len(ids) < 2:
-            return []
-        return [(ids[a], ids[b]) for a, b in forest(sets)]
+def _bitmaps(batches: Iterable) -> Iterator:
+    import pyarrow as pa
 
     for b in batches:
-        found = []
-        lists, values = b.column("set"), b.column("set").flatten().to_numpy(zero_copy_only=False)
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        for k, row in enumerate(zip(b.column("key").to_pylist(), b.column("i").to_pylist(), b.column("j").to_pylist(), strict=True)):
-            if row != unit:
-                found += links()
-                unit, ids, sets = row, [], []
-            ids.append(b.column("c1")[k].as_py())
-            sets.append(values[offsets[k]:offsets[k + 1]])
-        sets = [s.copy() for s in sets]
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
-    found = links()
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+        sets = [x.values.to_numpy(zero_copy_only=False) for x in b.column("set")]
+        yield pa.RecordBatch.from_arrays([b.column("c1"), pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x).tobytes() for x in sets], pa.binary())],
+                                         names=["c1", "size", "bits"])
+
+
+def _batched(rows: Iterable[tuple], names: list[str], size: int = 10_000) -> Iterator:
+    import pyarrow as pa
+
+    held = []
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held, strict=True)] or [pa.array([], pa.int64())] * len(names), names=names)
+
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield out()
+            held = []
+    yield out()
+
+
+def _maps(members: list[list]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([m[1] for m in members]), folded([np.frombuffer(m[2].as_py(), dtype=np.uint8) for m in members])
+
+
+def _likely(batches: Iterable) -> Iterator:
+    """Likely links of classes, from rows with their bitmaps."""
+    def rows():
+        for _, members in _units(batches, ("c1", "size", "bits")):
+            if len(members) > 1:
+                for a, b in likely_forest(*_maps(members)):
+                    yield members[a][0], members[b][0]
+
+    return _batched(rows(), ["a", "b"])
+
+
+def _undecided(batches: Iterable) -> Iterator:
+    """Rows of the sets of each unit that may link with one of another root."""
+    def rows():
+        for unit, members in _units(batches, ("c1", "size", "bits", "root")):
+            if len(members) > 1:
+                for k in np.flatnonzero(undecided(*_maps(members), np.array([m[3] for m in members]))).tolist():
+                    yield (*unit, members[k][0])
+
+    return _batched(rows(), ["key", "i", "j", "c1"])
+
+
+def _linked(batches: Iterable) -> Iterator:
+    """Links of classes, from rows with their sets."""
+    def rows():
+        for _, members in _units(batches, ("c1", "set")):
+            sets = [m[1].values.to_numpy(zero_copy_only=False) for m in members]
+            for a, b in forest(sets):
+                yield members[a][0], members[b][0]
+
+    return _batched(rows(), ["a", "b"])
 
 
 def _with_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    sets = docs.select(F.col(id_col).alias("doc_id"), shingles(text_of(text_col)).alias("set"))
-    return sets.select("doc_id", "set", F.xxhash64("set").alias("c1"), F.xxhash64("set", F.lit(1)).alias("c2"))
+    sets = docs.select(F.col(id_col).alias("doc_id"), *_row_keys(id_col, text_col), shingles(text_of(text_col)).alias("set"))
+    return sets.select("doc_id", "r1", "r2", "set", F.xxhash64("set").alias("c1"), F.xxhash64("set", F.lit(1)).alias("c2"))
+
+
+def _row_keys(id_col: str, text_col: str) -> list[Column]:
+    """Digest of a row's id and text, never null."""
+    return [F.xxhash64(F.col(id_col), F.col(text_col)).alias("r1"), F.xxhash64(F.col(text_col), F.lit(2), F.col(id_col)).alias("r2")]
 
 
 def _id_key(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("null"))
 
 
-def links_between_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): digests of linked classes, enough of them to connect all that
-    links connect."""
+def linked_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, root): digests of classes that have links, and their components."""
     spark = docs.sparkSession
     rows = keyed.select("c1", F.explode("keys").alias("key"))
     w = Window.partitionBy("key")
@@ -250,31 +352,80 @@ def links_between_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_c
     needed = mine.select("c1").distinct()
     texts = keyed.groupBy("c1").agg(F.min(_id_key("doc_id")).alias("id"))
     ids = needed.join(texts, "c1").select("id").distinct()
-    few = possible_hits(docs.withColumn("_id", _id_key(id_col)), "_id", bloom(ids, "id"))
+    few = bloom.possible_hits(docs.withColumn("__id", _id_key(id_col)), "__id", bloom.build(ids, "id"))
     sets = (_with_sets(few, id_col, text_col).join(needed, "c1", "left_semi")
             .select("c1", "set").dropDuplicates(["c1"]))
-    tiled = mine.join(materialize(sets, "needed-sets"), "c1")
-    tiled = tiled.repartition(spark_partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j", "c1")
-    return tiled.select("key", "i", "j", "c1", "set").mapInArrow(_linked, "a long, b long")
+    sets = materialize(sets, "needed-sets")
+
+    def dealt(rows, *columns):
+        rows = rows.repartition(spark_partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j", "c1")
+        return rows.select("key", "i", "j", "c1", *columns)
+
+    maps = materialize(sets.mapInArrow(_bitmaps, "c1 long, size long, bits binary"), "set-bitmaps")
+    likely = dealt(mine.join(maps, "c1"), "size", "bits").mapInArrow(_likely, "a long, b long")
+    likely = materialize(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "likely-links")
+    first, second = (sets.select(F.col("c1").alias(c), F.col("set").alias(f"s{c}")) for c in "ab")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    links = likely.join(first, "a").join(second, "b").filter(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")
+    links = materialize(links, "links")
+    roots = components(links)
+    known = maps.join(roots.withColumnRenamed("node", "c1"), "c1", "left").withColumn("root", F.coalesce("root", "c1"))
+    left = dealt(mine.join(known, "c1"), "size", "bits", "root").mapInArrow(_undecided, "key long, i long, j long, c1 long")
+    left = materialize(left, "undecided")
+    if left.isEmpty():
+        return roots
+    same = left.groupBy("key", "i", "j").agg(F.count("*").alias("n"), *[
+        F.sum(F.xxhash64("c1", F.lit(s)).cast("decimal(38,0)")).alias(f"s{s}") for s in (0, 1)])
+    same = materialize(same.groupBy("n", "s0", "s1").agg(F.min(F.struct("key", "i", "j")).alias("u")).select("u.*"), "kept-units")
+    more = dealt(left.join(same, ["key", "i", "j"]).join(sets, "c1"), "set").mapInArrow(_linked, "a long, b long")
+    return components(links.unionByName(materialize(more, "more-links")))
 
 
 def spark_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
-    and class_id (smallest doc_id with the same set)."""
+def _components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Per row with words: doc_id, r1, r2, n_shingles, class_id, component_id,
+    root; and the ids of the rows without."""
     session(docs.sparkSession)
     sets = _with_sets(docs, id_col, text_col)
     kind = sets.schema["doc_id"].dataType.simpleString()
-    keyed = materialize(sets.mapInArrow(_keyed, f"doc_id {kind}, n_shingles long, c1 long, c2 long, keys array<long>"), "bucket-keys")
-    links = links_between_classes(docs, keyed.filter("n_shingles > 0"), id_col, text_col)
-    roots = components(links).withColumnRenamed("node", "c1")
-    classes = keyed.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"))
+    keyed = materialize(sets.mapInArrow(_keyed, f"doc_id {kind}, r1 long, r2 long, n_shingles long, c1 long, c2 long, keys array<long>"), "bucket-keys")
+    worded = keyed.filter("n_shingles > 0")
+    roots = linked_classes(docs, worded, id_col, text_col).withColumnRenamed("node", "c1")
+    classes = worded.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"))
     classes = materialize(classes.join(roots, "c1", "left").withColumn("root", F.coalesce("root", "c1")), "classes")
     smallest = materialize(classes.groupBy("root").agg(F.min("class_id").alias("component_id")), "components")
-    classes = materialize(classes.join(smallest, "root").select("c1", "c2", "class_id", "component_id"), "class-components")
-    linked = keyed.filter("n_shingles > 0").select("doc_id", "n_shingles", "c1", "c2").join(classes, ["c1", "c2"])
-    alone = keyed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+    classes = materialize(classes.join(smallest, "root").select("c1", "c2", "class_id", "root", "component_id"), "class-components")
+    rows = worded.select("doc_id", "r1", "r2", "n_shingles", "c1", "c2").join(classes, ["c1", "c2"])
+    return rows, keyed.filter("n_shingles = 0").select("doc_id", "n_shingles")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links)
+    and class_id (smallest doc_id with the same set)."""
+    linked, alone = _components(docs, id_col, text_col)
+    alone = alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return linked.select("doc_id", "n_shingles", "component_id", "class_id").unionByName(alone)
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each component: the smallest
+    id's (of equal ids, one digest's; of repeated rows, one).  Rows without
+    words all stay.  Only rows that may go are shuffled."""
+    linked, _ = _components(docs, id_col, text_col)
+    each = linked.groupBy("root", "r1", "r2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    each = materialize(each, "component-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "r1", "r2")
+    first = materialize(each.groupBy("root").agg(F.min(order).alias("first")), "component-firsts")
+    chosen = (F.col("r1") == F.col("first.r1")) & (F.col("r2") == F.col("first.r2"))
+    special = (each.join(first, "root").filter(~chosen | (F.col("n") > 1))
+               .select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), chosen.alias("__stays")))
+    special = materialize(special, "rows-to-drop")
+    r1, r2 = _row_keys(id_col, text_col)
+    named, filt = docs.select("*", r1.alias("__r1"), r2.alias("__r2")), bloom.build(special, "__r1")
+    hits = bloom.possible_hits(named, "__r1", filt).join(special.hint("merge"), ["__r1", "__r2"], "left")
+    once = hits.filter("__stays").dropDuplicates(["__r1", "__r2"])
+    others = hits.filter("__stays is null").unionByName(bloom.sure_misses(named, "__r1", filt).withColumn("__stays", F.lit(None).cast("boolean")))
+    return others.unionByName(once).select(*docs.columns)
