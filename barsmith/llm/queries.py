@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import byte_bpe, embedding_dedup, line_dedup, ngram_jaccard, packing, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
+from barsmith.llm import byte_bpe, embedding_dedup, line_dedup, ngram_jaccard, oracles, packing, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
 from barsmith.sources.tables import read_table
 
 # The rules of the URL query, (verdict, host and path).
@@ -76,4 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity, op9_byte_bpe, op10_line_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_url_filter": oracles.url_filter(URL_RULES),
+    "op5_ngram_jaccard": oracles.ngram_jaccard(),
+    "op6_embedding_dedup": oracles.embedding_dedup(),
+    "op10_line_dedup": oracles.line_dedup(),
+}
