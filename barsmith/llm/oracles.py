@@ -72,3 +72,55 @@ cnt AS (SELECT f.doc_id, count(*) AS n, count(cut.i) AS c FROM f LEFT JOIN cut O
 SELECT x.doc_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(cnt.c, 0) AS BIGINT) AS n_removed,
   CASE WHEN x.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
 FROM x LEFT JOIN cnt ON x.doc_id = cnt.doc_id LEFT JOIN kept ON x.doc_id = kept.doc_id"""
+
+
+def quality_rules(steps: int = 40) -> str:
+    """The rules and their estimation; R = 8 rules."""
+    r = 8
+    bad_good = [
+        ("word_chars < 2 * n OR word_chars > 20 * n", "word_chars >= 3 * n AND word_chars <= 12 * n"),
+        ("10 * n_symbols > n", "50 * n_symbols <= n"),
+        ("2 * n_dup_lines > n_lines", "n_dup_lines = 0 AND n_lines > 2"),
+        ("10 * n_repeat_words > 3 * n", "20 * n_repeat_words <= n"),
+        ("10 * n_other > word_chars", "16 * n_other <= word_chars"),
+        ("10 * n_upper > 3 * word_chars", "10 * n_upper <= word_chars"),
+        ("5 * n_marks > n", "20 * n_marks <= n"),
+        ("5 * n_alone > n", "20 * n_alone <= n")]
+    votes = ", ".join(f"CASE WHEN {b} THEN -1 WHEN {g} THEN 1 ELSE 0 END" for b, g in bad_good)
+    state = ["(sum(n * q) + 1) / (sum(n) + 2)"]
+    for q in ("q", "(1 - q)"):
+        for v in (1, -1):
+            state += [f"(sum(CASE WHEN v[{k + 1}] = {v} THEN n * {q} ELSE 0 END) + 1) / (sum(n * {q}) + 3)" for k in range(r)]
+    # a state is [share, good's P(1) x 8, good's P(-1) x 8, bad's P(1) x 8, bad's P(-1) x 8], 1-based here
+    log = lambda k, at: f"ln(CASE v[{k}] WHEN 1 THEN st[{at + k}] WHEN -1 THEN st[{at + r + k}] ELSE 1 - st[{at + k}] - st[{at + r + k}] END)"
+    good = " + ".join(["ln(st[1])", *(log(k, 1) for k in range(1, r + 1))])
+    bad = " + ".join(["ln(1 - st[1])", *(log(k, 1 + 2 * r) for k in range(1, r + 1))])
+    posterior = f"1 / (1 + exp(least(({bad}) - ({good}), 500)))"
+    begin = "1 / (1 + exp(least(4.0 * len(list_filter(v, lambda x: x = -1)) - len(list_filter(v, lambda x: x = 1)), 500)))"
+    next_state = f"[{', '.join(state)}]"
+    white = "[\\x20\\x09-\\x0D]"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    regexp_replace(coalesce(text, ''), '{white}+', '', 'g') AS dense,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS win
+      FROM d WHERE len(w) >= 3),
+many AS (SELECT doc_id, p FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p + o) AS n FROM many, range(3) t(o) GROUP BY doc_id),
+c AS (SELECT d.doc_id, len(w) AS n, length(dense) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(ls) AS n_lines,
+        len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, length(regexp_replace(dense, '\\p{{L}}+', '', 'g')) AS n_other,
+        length(t) - length(translate(t, '{ASCII_UPPER}', '')) AS n_upper, length(t) - length(translate(t, '!?', '')) AS n_marks,
+        len(list_filter(w, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) AS n_alone
+      FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id),
+k AS (SELECT *, [{votes}] AS v FROM c),
+pats AS (SELECT v, CAST(count(*) AS DOUBLE) AS n FROM k GROUP BY v),
+em(it, st) AS (
+  SELECT 0, {next_state} FROM (SELECT v, n, {begin} AS q FROM pats)
+  UNION ALL
+  SELECT it + 1, {next_state} FROM (SELECT it, v, n, {posterior} AS q FROM em, pats WHERE it < {steps}) GROUP BY it),
+post AS (SELECT v, {posterior} AS q FROM pats, em WHERE it = {steps})
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n < 50 OR 100 * n_repeat_words > 50 * n AS base_failed, NOT (n < 50 OR 100 * n_repeat_words > 50 * n) AND q >= 0.5 AS kept
+FROM k JOIN post ON k.v = post.v"""

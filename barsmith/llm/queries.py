@@ -78,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_url_filter": oracles.url_filter(URL_RULES),
+    "op3_quality_rules": oracles.quality_rules(quality_rules.STEPS),
     "op5_ngram_jaccard": oracles.ngram_jaccard(),
     "op6_embedding_dedup": oracles.embedding_dedup(),
     "op10_line_dedup": oracles.line_dedup(),
