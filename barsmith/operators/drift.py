@@ -96,11 +96,19 @@ def drift_features(baseline: DataFrame, live_long: DataFrame,
 
     ``live_long``: (by..., feature, value) — ``by`` keys (e.g. a time
     window) give one result per (key, feature) from the same single
-    aggregation.  Features absent from the live data are skipped (F7);
-    NULL live values are dropped per feature (F8).
+    aggregation.  Features absent from the live data are skipped (F7); NULL
+    live values are dropped per feature (F8), and a feature that is left
+    without values stays, as not drifted.  ``live_columns`` names the features
+    that exist as live columns, for a live window without any rows.
     """
     ref = drift_reference(baseline, params)
-    return drift_from_slots(live_slot_counts(ref, live_long, by), ref, params, by)
+    slots = live_slot_counts(ref, live_long, by)
+    if live_columns is not None:
+        if by:
+            raise ValueError("live_columns is for one window")
+        exist = ref.filter(F.col("feature").isin(*live_columns)).select("feature")
+        slots = slots.unionByName(exist.withColumn("c", F.lit(0).cast("long")), allowMissingColumns=True)
+    return drift_from_slots(slots, ref, params, by)
 
 
 def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEFAULT_DRIFT,
