@@ -8,8 +8,8 @@ often the rule votes right, wrong or not at all, and the share of good
 documents.  A document is kept if its posterior probability of being good is
 at least one half, and if it passes the two base limits.
 
-The counts of a document come from array functions over its words, linear (or
-n log n) in its length; no rows are exploded.  The estimation is one fold
+The counts of a document come from array functions over its words, n log n in
+their number; no rows are exploded.  The estimation is one fold
 over the pattern table; the posteriors go back to the documents as a broadcast
 of that table, whose size 3**8 rows bounds.
 
@@ -56,24 +56,29 @@ def repeated_words(w: Column) -> Column:
     return _bound(w, lambda x: F.when(F.size(x) < 3, 0).otherwise(windows(x)))
 
 
-def counts(text: Column) -> dict[str, Column]:
-    """The base counts and those the rules need, each over the whole text."""
+def counts(text: Column) -> Column:
+    """Struct of the base counts and those the rules need, each over the whole
+    text; words, lines and the text without white space are made once."""
     t = F.coalesce(text, F.lit(""))
-    dense = F.regexp_replace(t, SPACE, "")
     lines = F.filter(F.split(t, "\n"), lambda s: F.regexp_replace(s, SPACE, "") != "")
     without = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
-    return {
-        "n_words": F.size(words(t)),
-        "word_chars": F.length(dense),
-        "n_symbols": without(SYMBOLS),
-        "n_lines": F.size(lines),
-        "n_dup_lines": _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
-        "n_repeat_words": repeated_words(words(t)),
-        "n_other": F.length(F.regexp_replace(dense, r"\p{L}+", "")),
-        "n_upper": without("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "n_marks": without("!?"),
-        "n_alone": F.size(F.filter(words(t), lambda w: ~w.rlike(r"\p{L}"))),
-    }
+
+    def fields(w, ln, dense):
+        each = {
+            "n_words": F.size(w),
+            "word_chars": F.length(dense),
+            "n_symbols": without(SYMBOLS),
+            "n_lines": F.size(ln),
+            "n_dup_lines": F.size(ln) - F.size(F.array_distinct(ln)),
+            "n_repeat_words": repeated_words(w),
+            "n_other": F.length(F.regexp_replace(dense, r"\p{L}+", "")),
+            "n_upper": without("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+            "n_marks": without("!?"),
+            "n_alone": F.size(F.filter(w, lambda x: ~x.rlike(r"\p{L}"))),
+        }
+        return F.struct(*[v.cast("long").alias(k) for k, v in each.items()])
+
+    return _bound(words(t), lambda w: _bound(lines, lambda ln: _bound(F.regexp_replace(t, SPACE, ""), lambda dense: fields(w, ln, dense))))
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -100,7 +105,7 @@ R = 8  # rules
 
 def measured(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs`` with the structs ``__count`` and ``__vote``."""
-    out = docs.withColumn("__count", F.struct(*[v.cast("long").alias(k) for k, v in counts(F.col(text_col)).items()]))
+    out = docs.withColumn("__count", counts(F.col(text_col)))
     return out.withColumn("__vote", F.array(*rules(lambda k: F.col(f"__count.{k}")).values()))
 
 
