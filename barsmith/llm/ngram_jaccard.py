@@ -62,11 +62,12 @@ def shingles(c: Column) -> Column:
 
 
 def shingles_of_words(w: Column) -> Column:
-    n = F.size(w)
-    # the lambda sees the words once, as an array inside a one-element array
-    each = F.flatten(F.transform(F.array(w), lambda x: F.transform(
-        F.sequence(F.lit(1), F.size(x) - (WIDTH - 1)), lambda i: F.xxhash64(F.slice(x, i, WIDTH)))))
-    return F.when(n == 0, F.array().cast("array<long>")).when(n < WIDTH, F.array(F.xxhash64(w))).otherwise(each)
+    def of(x):  # x: the words, made once a row
+        n = F.size(x)
+        each = F.transform(F.sequence(F.lit(1), n - (WIDTH - 1)), lambda i: F.xxhash64(*[F.get(x, i + k) for k in range(-1, WIDTH - 1)]))
+        return F.when(n == 0, F.array().cast("array<long>")).when(n < WIDTH, F.array(F.xxhash64(x))).otherwise(each)
+
+    return F.element_at(F.transform(F.array(w), of), 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
