@@ -16,8 +16,3 @@ def round_half_away(c: Column, d: int) -> Column:
     """
     scale = float(10 ** d)
     return F.round(c * F.lit(scale), 0) / F.lit(scale)
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """a / b with NULL for a zero or NULL denominator (pandas replace(0, nan))."""
-    return F.try_divide(a, F.nullif(b, F.lit(0.0)))

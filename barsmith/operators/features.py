@@ -27,25 +27,6 @@ def complete_cases(df: DataFrame, subset=None) -> DataFrame:
     return df.dropna(how="any", subset=subset)
 
 
-def min_rows_guard(df: DataFrame, min_rows: int, mode: str = "drop",
-                   by: str = "ticker") -> DataFrame:
-    """series with fewer than ``min_rows`` rows.
-
-    ``drop`` keeps only series with enough rows (a grouped count, then a
-    semi-join on the small qualifying-key table); ``fail`` raises on the
-    first short series (the reference's behaviour).
-    """
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    if mode == "fail":
-        short = counts.filter(F.col("_n") < min_rows).limit(1).collect()
-        if short:
-            raise ValueError(f"{short[0][by]}: only {short[0]['_n']} rows after dropna, "
-                             f"need >= {min_rows}")
-        return df
-    keep = counts.filter(F.col("_n") >= min_rows).select(by)
-    return df.join(keep, by, "left_semi")
-
-
 def feature_matrix(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES, *,
                    order: str = "date", period: str = "month", keep=(),
                    write_once: bool = False) -> DataFrame:

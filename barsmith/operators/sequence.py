@@ -15,7 +15,7 @@ The primitives here never do that:
 * :func:`ewm` evaluates an exponentially weighted mean (adjust=False,
   seeded with the first value) inside a block with relative weights; the
   halo is long enough that older rows weigh less than ``EWM_TOL``.
-* :func:`running_sum` gives an exact unbounded cumulative sum: local
+* :func:`running_sums` gives an exact unbounded cumulative sum: local
   cumulative sum plus the running total of the (tiny) per-block table.
 """
 
@@ -135,11 +135,6 @@ def ewm(x: Column, alpha: float, by: list[str], *, seed_ord: int = 0) -> Column:
     return F.when(o >= seed_ord, s * grow(-1.0))
 
 
-def running_sum(df: DataFrame, x: str, out: str, by: list[str]) -> DataFrame:
-    """Exact unbounded cumulative sum of column ``x`` over each series."""
-    return running_sums(df, {x: out}, by)
-
-
 def running_sums(df: DataFrame, cols: dict[str, str], by: list[str],
                  totals: dict[str, str] | None = None) -> DataFrame:
     """Exact unbounded cumulative sums (``{input: output}``) over each series.
