@@ -16,7 +16,9 @@ known to both, keeps short windows above the size that zstd stores raw.
 
 Learning uses a bounded sample of labelled rows: at most ``SAMPLE`` of each
 class, taken in hash order, half for the dictionaries and half for the
-calibration.  Only those ids, counts of at most ``GRAMS`` strings and words,
+calibration.  Each sampled row counts for as many labels of its class as it
+stands for, so the calibration, its cut and the choice of strings follow the
+labels' own mix however large the input is.  Only those ids, counts of at most ``GRAMS`` strings and words,
 ``BASE_WINDOWS`` windows and the sample's features reach the driver.  Scoring
 is map-only, over whole texts.
 
@@ -145,12 +147,12 @@ def _design(f: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(f)), top, second, excess, n, np.maximum(top - 2, 0), np.maximum(top - 4, 0), excess * n], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - ridge * w)
         w = w + step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
@@ -217,28 +219,38 @@ def _surplus(seen: Column, expected: Column) -> Column:
     return F.when(seen > expected, seen * F.log(seen / expected) - (seen - expected)).otherwise(0.0)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFrame:
-    """(y, half, text) of at most SAMPLE labelled rows of each class; ``learn``
-    says over column ``doc_id`` which labels may be used."""
+def _expected(k0: Column, k1: Column, odds: float, rate: float) -> Column:
+    """How many of the sampled toxic texts would hold a string that is as
+    frequent in both classes; ``odds`` is toxic : ordinary by the labels, an
+    ordinary text stands for ``rate`` times as many labels as a toxic one."""
+    return (k0 * rate + k1) * (odds / (1 + odds))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str) -> tuple[DataFrame, dict[int, float]]:
+    """(y, half, text) of at most SAMPLE labelled rows of each class, and how
+    many labels of a class a sampled one stands for; ``learn`` says over
+    column ``doc_id`` which labels may be used."""
     rows = (labels.select(F.col(id_col).alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter("y in (0, 1) and doc_id is not null")
             .filter(learn).groupBy("doc_id").agg(F.max("y").alias("y")))
+    totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
     order = F.xxhash64("doc_id", F.lit(11))
     ids = [rows.filter(F.col("y") == c).orderBy(order, "doc_id").limit(SAMPLE) for c in (0, 1)]
     ids = materialize(ids[0].unionByName(ids[1]).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2))), "label-sample")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return materialize(texts.join(F.broadcast(ids), "doc_id").select("y", "half", "text"), "sample-texts")  # 2 * SAMPLE ids
+    sample = materialize(texts.join(F.broadcast(ids), "doc_id").select("y", "half", "text"), "sample-texts")  # 2 * SAMPLE ids
+    return sample, {y: n / min(n, SAMPLE) for y, n in totals.items()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> Model:
     session(docs.sparkSession)
-    sample = labelled_sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col)
+    sample, stands_for = labelled_sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col)
     sizes = {(r["y"], r["half"]): r["n"] for r in sample.groupBy("y", "half").agg(F.count("*").alias("n")).collect()}  # four rows
-    total = sum(sizes.values())
-    share = (sizes.get((1, 0), 0) + sizes.get((1, 1), 0)) / total if total else 0.0
+    total = sum(n * stands_for[y] for (y, _), n in sizes.items())
+    share = (sizes.get((1, 0), 0) + sizes.get((1, 1), 0)) * stands_for.get(1, 0.0) / total if total else 0.0
     if any(not sizes.get((y, h)) for y in (0, 1) for h in (0, 1)):
         return Model(b"", b"", (), share)
 
-    n0, n1 = sizes[0, 0], sizes[1, 0]
+    n0, n1, rate = sizes[0, 0], sizes[1, 0], stands_for[0] / stands_for[1]
     half = sample.filter("half = 0")
     seen = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.btrim(w, F.lit(TRIM))))
     words = (half.select("y", F.explode(seen).alias("word")).filter("word <> ''")
@@ -249,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_c
              .select("k1", "k0", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - (GRAM - 1), F.lit(1))),
                                                                         lambda i: F.substring(F.col("w"), i, F.lit(GRAM))))).alias("gram"))
              .groupBy("gram").agg(F.sum("k1").alias("k1"), F.sum("k0").alias("k0"))
-             .filter((F.col("k1") >= 3) & ((F.col("k1") + 0.5) / n1 > ODDS * (F.col("k0") + 0.5) / n0)).withColumn("surplus", _surplus(F.col("k1"), (F.col("k0") + F.col("k1")) * (n1 / (n0 + n1))))
+             .filter((F.col("k1") >= 3) & ((F.col("k1") + 0.5) / n1 > ODDS * (F.col("k0") + 0.5) / n0)).withColumn("surplus", _surplus(F.col("k1"), _expected(F.col("k0"), F.col("k1"), n1 / (n0 * rate), rate)))
              .orderBy(F.desc("surplus"), "gram").limit(GRAMS))
     grams = grams.collect()  # at most GRAMS
     kept = {r["gram"] for k, r in enumerate(grams) if r["surplus"] >= SURPLUS or k < FEW}
@@ -273,9 +285,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_c
     rows = _features(sample.filter("half = 1").select(F.col("y"), "text"), model, "y", "int").collect()  # at most 2 * SAMPLE
     f = np.array([[r["f0"], r["f1"], r["f2"], r["f3"]] for r in rows])
     y = np.array([r["y"] for r in rows], dtype=float)
-    w = _logistic(_design(f), y)
+    weight = np.where(y == 1, stands_for[1], stands_for[0])
+    w = _logistic(_design(f), y, weight)
     log_odds = _design(f) @ w
-    w[0] -= _best_cut(log_odds, y, np.ones(len(y)))
+    w[0] -= _best_cut(log_odds, y, weight)
     return Model(model.ordinary, model.toxic, tuple(w.tolist()), share)
 
 
