@@ -25,8 +25,8 @@ is map-only, over whole texts.
 Defined results: null and empty texts have no windows and get the score that
 the calibration gives to none; without labels of both classes every score is
 the share of label 1 (0 without any labels); repeated rows stay repeated; ids
-that repeat in the labels count once, toxic if any row says so; an empty table
-gives no rows.
+that repeat in the labels count once, toxic if any row says so; of an id that
+repeats in the documents one text is learnt from; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -237,7 +237,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: s
     ids = [rows.filter(F.col("y") == c).orderBy(order, "doc_id").limit(SAMPLE) for c in (0, 1)]
     ids = materialize(ids[0].unionByName(ids[1]).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2))), "label-sample")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    sample = materialize(texts.join(F.broadcast(ids), "doc_id").select("y", "half", "text"), "sample-texts")  # 2 * SAMPLE ids
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    texts = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", "half").agg(one)
+    sample = materialize(texts.select("y", "half", "text"), "sample-texts")  # at most 2 * SAMPLE rows
     return sample, {y: n / min(n, SAMPLE) for y, n in totals.items()}
 
 

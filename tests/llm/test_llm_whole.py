@@ -39,3 +39,10 @@ def test_toxicity_cut_and_strings_do_not_move_with_the_cap(spark):
     natural, even = (toxicity._surplus(F.col("k1"), toxicity._expected(F.col("k0"), F.col("k1"), 1 / 8, rate)) for rate in (1.0, 8.0))
     a, b = counts.select(natural, even).first()
     assert abs(a - b) < 1e-9 and a > toxicity.SURPLUS
+
+
+def test_toxicity_sample_is_bounded_by_rows(spark):
+    docs, labels = labelled(spark, 20, 20)
+    again = spark.range(200).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("other text "), "id").alias("text"))
+    sample, _ = toxicity.labelled_sample(docs.unionByName(again), labels, F.lit(True), "doc_id", "text")
+    assert sample.count() == 40
