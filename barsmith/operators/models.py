@@ -7,11 +7,14 @@ for the p10/p90 band, a seeded random search over ridge strengths.
 
 from __future__ import annotations
 
+import math
 import random
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,8 @@ from barsmith.functions.numeric import round_half_away
 from barsmith.operators import sequence as S
 from barsmith.operators.metrics import compute_metrics, cv_average
 from barsmith.operators.scaling import apply_scaler, fit_standard
-from barsmith.params import DEFAULT_FEATURES
+from barsmith.params import DEFAULT_FEATURES, DEFAULT_MODELS
+from barsmith.session import materialize
 
 FEATS = DEFAULT_FEATURES.feature_names()
 
@@ -50,17 +54,59 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0, features=FEATS, label: str =
     return scaler, Pipeline(stages=[_assembler(features), lr]).fit(xs)
 
 
-def fit_gbt(train: DataFrame, features=FEATS, label: str = "target", *, max_iter: int = 500,
+def fit_gbt(train: DataFrame, features=FEATS, label: str = "target", *, max_iter: int = DEFAULT_MODELS.n_estimators,
             step: float = 0.05, depth: int = 6, subsample: float = 0.8, colsample: str = "0.8",
-            min_instances: int = 5, validation_col: str | None = None, seed: int = 42) -> PipelineModel:
-    """L4 re-aim: squared-error boosted trees; early stopping through a
-    validation indicator column when given."""
+            min_instances: int = 5, validation_col: str | None = None,
+            patience: int = DEFAULT_MODELS.early_stopping_rounds, seed: int = 42) -> PipelineModel:
+    """L4 re-aim: squared-error boosted trees.  With a validation indicator
+    column, boosting ends after ``patience`` rounds without a smaller
+    validation error; like the reference's booster the model keeps those rounds.
+
+    Spark's own validation stops at the first round that gains less than a
+    tolerance, so the rule is applied here: a round depends on earlier rounds
+    only, hence the first rounds of a longer fit are those of a shorter one,
+    and the fit is made longer until the rule ends it."""
     kw = dict(featuresCol="features", labelCol=label, lossType="squared", maxIter=max_iter, stepSize=step,
               maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=colsample,
               minInstancesPerNode=min_instances, seed=seed)
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    return Pipeline(stages=[_assembler(features), GBTRegressor(**kw)]).fit(train)
+    fit = lambda rows, n: Pipeline(stages=[_assembler(features), GBTRegressor(**{**kw, "maxIter": n})]).fit(rows)
+    held = train.filter(F.col(validation_col)) if validation_col else None
+    if held is None or held.isEmpty():
+        return fit(train, max_iter)
+    rows, n = train.filter(~F.col(validation_col)), min(max_iter, 2 * patience)
+    while True:
+        model = fit(rows, n)
+        rounds = stopped_at(model.stages[-1].evaluateEachIteration(model.stages[0].transform(held), "squared"), patience)
+        if rounds or n == max_iter:
+            return first_rounds(model, rounds or n)
+        n = min(max_iter, 2 * n)
+
+
+def stopped_at(errors: list[float], patience: int) -> int | None:
+    """The number of rounds after which ``patience`` rounds in a row were no
+    better than the best before; None if that never happens."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return i + 1
+    return None
+
+
+def first_rounds(model: PipelineModel, n: int) -> PipelineModel:
+    """The boosted model of the first ``n`` rounds."""
+    full = model.stages[-1]
+    if n >= full.getNumTrees:
+        return model
+    java, sc = full._java_obj, SparkContext._active_spark_context
+    kind = sc._jvm.org.apache.spark.ml.regression
+    trees = sc._gateway.new_array(kind.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], full.treeWeights[i]
+    cut = kind.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    return PipelineModel([*model.stages[:-1], GBTRegressionModel(cut)])
 
 
 def score(model: PipelineModel, df: DataFrame, version: str, keys=("ticker", "date"),
@@ -102,16 +148,39 @@ def cv_linear(folds: DataFrame, features=FEATS, label: str = "target", alpha: fl
     return out
 
 
-def param_search(folds: DataFrame, n_trials: int = 6, seed: int = 42, lo: float = 1e-4, hi: float = 10.0):
+def cv_ridge(folds: DataFrame, alphas: list[float], features=FEATS, label: str = "target") -> DataFrame:
+    """A6 per (alpha, fold) of the ridge fits that ``cv_linear`` makes for
+    each alpha: a fold is scaled once, and its validation rows are scored by
+    all of the fold's models in one pass."""
+    out = None
+    for f in [r[0] for r in folds.select("fold").distinct().orderBy("fold").collect()]:
+        tr = folds.filter((F.col("fold") == f) & (F.col("role") == "train"))
+        va = folds.filter((F.col("fold") == f) & (F.col("role") == "val"))
+        scaler = materialize(fit_standard(tr, list(features)), "scaler")
+        scaled = lambda d: _assembler(features).transform(apply_scaler(d, scaler, list(features))).select("features", label)  # noqa: E731,B023
+        xs = materialize(scaled(tr), "scaled-fold")
+        st = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sy")).first()
+        models = []
+        for a in alphas:
+            lr = LinearRegression(featuresCol="features", labelCol=label, solver="normal", regParam=a / st["n"] * (st["sy"] or 1.0),
+                                  elasticNetParam=0.0, standardization=False)
+            m = lr.fit(xs)
+            models.append((a, float(m.intercept), [float(c) for c in m.coefficients]))
+        fits = xs.sparkSession.createDataFrame(models, "alpha double, intercept double, weights array<double>")
+        products = F.zip_with("x", "weights", lambda x, w: x * w)
+        scored = (scaled(va).select(vector_to_array("features").alias("x"), label).crossJoin(F.broadcast(fits))  # one row an alpha
+                  .withColumn("prediction", F.aggregate(products, F.col("intercept"), lambda s, p: s + p)))
+        rows = compute_metrics(scored, label, "prediction", by=["alpha"]).withColumn("fold", F.lit(f))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def param_search(folds: DataFrame, n_trials: int = DEFAULT_MODELS.n_trials, seed: int = 42, lo: float = 1e-4, hi: float = 10.0):
     """L9 re-aim: seeded log-uniform ridge strengths x walk-forward folds;
     the candidate with the smallest mean fold RMSE (``min_by``)."""
     rng = random.Random(seed)
-    import math
     trials = [math.exp(rng.uniform(math.log(lo), math.log(hi))) for _ in range(n_trials)]
-    rows = None
-    for a in trials:
-        m = cv_average(cv_linear(folds, alpha=a).withColumn("alpha", F.lit(a)), ["alpha"])
-        rows = m if rows is None else rows.unionByName(m)
+    rows = materialize(cv_average(cv_ridge(folds, trials), ["alpha"]), "trials")
     return rows, rows.agg(F.min_by("alpha", "rmse").alias("best_alpha"), F.min("rmse").alias("best_rmse"))
 
 

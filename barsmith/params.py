@@ -102,6 +102,17 @@ class SplitParams:
     unit: str = "rows"            # "rows" (parity) or "dates" (leak-safe)
 
 
+@dataclass(frozen=True)
+class ModelParams:
+    # Fixed values that must equal the reference's model settings: 500
+    # boosting rounds, early stopping after 30 rounds without a better
+    # validation RMSE; 50 search trials.
+    n_estimators: int = 500
+    early_stopping_rounds: int = 30
+    n_trials: int = 50
+
+
 DEFAULT_FEATURES = FeatureParams()
 DEFAULT_DRIFT = DriftParams()
 DEFAULT_SPLITS = SplitParams()
+DEFAULT_MODELS = ModelParams()
