@@ -306,9 +306,12 @@ WINDOW_ENDS = [f"2024-01-{d:02d}" for d in range(22, 32)] + [f"2024-02-{d:02d}"
     f"avg(CASE WHEN strftime(wend, '%Y-%m-%d') = '{d}' THEN " + sql_round("ks_statistic", 6) + f' END) AS "{d}"' for d in WINDOW_ENDS) +
        " FROM drift GROUP BY feature")
 def q_ks_pivot(spark, sf_dir):
-    """Feature x window, mean KS statistic."""
+    """Feature x window, mean KS statistic; a window outside
+    ``WINDOW_ENDS`` is an error, not left out."""
     feats, _ = windowed_drift(spark, sf_dir)
-    p = feats.select("feature", F.date_format("wend", "yyyy-MM-dd").alias("d"), "ks_statistic") \
+    day = F.date_format("wend", "yyyy-MM-dd")
+    listed = F.when(day.isin(WINDOW_ENDS), day).otherwise(F.raise_error(F.concat(F.lit("window outside the listed period: "), day)))
+    p = feats.select("feature", listed.alias("d"), "ks_statistic") \
         .groupBy("feature").pivot("d", WINDOW_ENDS).avg("ks_statistic")
     return rounded(p)
 
