@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import byte_bpe, embedding_dedup, line_dedup, ngram_jaccard, oracles, packing, quality_rules, shuffle_shard, token_counts, toxicity, url_filter
+from barsmith.llm import alignment, bpe_pairs, byte_bpe, embedding_dedup, line_dedup, ngram_jaccard, oracles, packing, quality_rules, shuffle_shard, token_counts, toxicity, url_filter, whitening
 from barsmith.sources.tables import read_table
 
 # The rules of the URL query, (verdict, host and path).
@@ -70,10 +70,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op12_bpe_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_pairs.encode_ids(read_table(spark, sf_dir, "documents"), digest=True)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.linked_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_token_counts, op3_quality_rules, op4_packing, op5_ngram_jaccard, op6_embedding_dedup, op7_sharding,
-        op8_toxicity, op9_byte_bpe, op10_line_dedup)
+        op8_toxicity, op9_byte_bpe, op10_line_dedup, op11_whitening, op12_bpe_pairs, op13_alignment)
 }
 
 ORACLES: dict[str, str] = {
