@@ -1,26 +1,35 @@
-"""Toxicity (operator 8): compression distance between two zstd dictionaries.
-
-One dictionary is trained on toxic, one on ordinary text.  A text is cut into
-windows of about ``WINDOW`` bytes, each window is compressed with both, and
-the saving of the toxic dictionary over the ordinary one is its distance.  The
-highest two savings, their excess over noise and the number of windows give a
-score through a logistic calibration whose 0.5 lies at the cut with the best
-F1 on held-back training rows.
-
-The toxic dictionary is trained on the stretches of toxic texts that tell the
-classes apart (runs of six-character strings much more frequent there, beyond
-chance), the ordinary one on windows of ordinary texts.  The toxic compressor has both as
-its content, so an ordinary window is compressed alike by both and the
-difference shows toxic stretches alone.  A fixed lead before every window,
-known to both, keeps short windows above the size that zstd stores raw.
+"""Toxicity (operator 8): compression distance between zstd dictionaries.
+
+One dictionary is trained on ordinary text and ``FOLDS`` on toxic text, each
+without another part of the sample.  A text (lower case, punctuation as blanks)
+is cut into windows of about ``WINDOW`` bytes, each window is compressed with
+all of them, and the saving of a toxic dictionary over the ordinary one is its
+distance.  The highest two savings, the excess over noise and the number of
+windows give log-odds through a logistic calibration; the score is that of
+their mean over the toxic dictionaries.
+
+Toxic dictionaries are trained on the stretches of toxic texts that tell the
+classes apart: runs of six-character strings of a word that are ``ODDS`` times
+as frequent in toxic texts, beyond chance.  zstd trains on samples of eight
+stretches in mixed order, frequent ones more often, to a size that follows the
+stretches' own; few samples are repeated until there are enough to train on.
+The same path is taken at every size.  The toxic compressors have the ordinary
+dictionary as content too, so an ordinary window is compressed alike by all and
+the difference shows toxic stretches alone.  A fixed lead before every window,
+known to all, keeps short windows above the size that zstd stores raw.
+
+Cross-fitting wastes no label: each part of the sample is measured with the
+dictionary that has not seen it, and the calibration is fitted on all of these
+measurements.  0.5 lies at the cut with the best F-measure there (recall
+counts ``RECALL`` times as much as precision).
 
 Learning uses a bounded sample of labelled rows: at most ``SAMPLE`` of each
-class, taken in hash order, half for the dictionaries and half for the
-calibration.  Each sampled row counts for as many labels of its class as it
+class, taken in hash order.
+Each sampled row counts for as many labels of its class as it
 stands for, so the calibration, its cut and the choice of strings follow the
-labels' own mix however large the input is.  Only those ids, counts of at most ``GRAMS`` strings and words,
-``BASE_WINDOWS`` windows and the sample's features reach the driver.  Scoring
-is map-only, over whole texts.
+labels' own mix however large the input is.  Only the sample's ids, its strings
+and words that tell the classes apart, its ordinary windows and its
+measurements reach the driver.  Scoring is map-only, over whole texts.
 
 Defined results: null and empty texts have no windows and get the score that
 the calibration gives to none; without labels of both classes every score is
@@ -44,21 +53,23 @@ from barsmith.session import materialize
 SAMPLE = 6000  # labelled rows of each class
 WINDOW = 96
 GRAM = 6
-GRAMS = 4000
+FOLDS = 4
 # a string tells the classes apart if it is so many times as frequent in toxic
-# texts and that is no chance; at least so many strings do
-ODDS, SURPLUS, FEW = 12, 8.0, 40
-BASE_WINDOWS = 20_000
-BASE_SIZE, TOXIC_SIZE = 16_384, 1024
+# texts and that is no chance
+ODDS, SURPLUS = 2.5, 8.0
+RECALL = 1.5
+# a toxic dictionary has SPARE bytes and GROWTH times its stretches; what zstd's trainer is given at least
+GROWTH, SPARE, SEGMENT, TRAIN_BYTES, TRAIN_SAMPLES = 4, 256, 64, 4096, 16
+BASE_SIZE = 16_384
 LEAD = b"<~window~of~text~begins~here~:~> "
-TRIM = ".,;:!?…\"'()[]|*#$%&"
+BLANK = r"""[.,;:!?…"'()\[\]|*#$%&\s]+"""  # what parts words
 SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
 class Model:
     ordinary: bytes
-    toxic: bytes
+    toxic: tuple[bytes, ...]  # one for each part of the sample left out
     weights: tuple[float, ...]  # empty: the score is `share`
     share: float
 
@@ -66,7 +77,7 @@ class Model:
         import zstandard as zstd
 
         made = []
-        for content in (self.ordinary, self.toxic):
+        for content in (self.ordinary, *(t + self.ordinary for t in self.toxic)):
             p = zstd.ZstdCompressionParameters(min_match=5, strategy=zstd.STRATEGY_GREEDY, window_log=16, hash_log=14, chain_log=14, search_log=4,
                                                write_content_size=False, write_checksum=False, write_dict_id=False)
             d = zstd.ZstdCompressionDict(content + LEAD, dict_type=zstd.DICT_TYPE_RAWCONTENT)
@@ -77,7 +88,8 @@ class Model:
     def score(self, feats: np.ndarray) -> np.ndarray:
         if not self.weights:
             return np.full(len(feats), self.share)
-        return 1 / (1 + np.exp(-np.clip(_design(feats) @ np.array(self.weights), -30, 30)))
+        log_odds = sum(_design(feats[:, [0, k, k + 1, k + 2]]) @ np.array(self.weights) for k in range(1, feats.shape[1], 3))
+        return 1 / (1 + np.exp(-np.clip(log_odds / len(self.toxic), -30, 30)))
 
 
 def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,11 +110,11 @@ def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int =
 
 
 def savings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, compressors) -> np.ndarray:
-    """Bytes that the toxic dictionary saves on each window."""
+    """Bytes that each toxic dictionary saves on each window."""
     import zstandard as zstd
 
     if not len(begin):
-        return np.empty(0, dtype=np.int64)
+        return np.empty((len(compressors) - 1, 0), dtype=np.int64)
     sizes, lead = end - begin, np.frombuffer(LEAD, dtype=np.uint8)
     offsets = np.append(0, np.cumsum(sizes + len(lead)))
     out = np.empty(offsets[-1], dtype=np.uint8)
@@ -111,43 +123,45 @@ def savings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, compressors) -
     out[np.repeat(offsets[:-1] + len(lead), sizes) + ramp] = data[np.repeat(begin, sizes) + ramp]
     segments = np.stack([offsets[:-1], np.diff(offsets)], axis=1).astype(np.uint64).tobytes()
     buffer = zstd.BufferWithSegments(out.tobytes(), segments)
-    ordinary, toxic = ([len(x) for x in c.multi_compress_to_buffer(buffer, threads=1)] for c in compressors)
-    return np.array(ordinary, dtype=np.int64) - np.array(toxic, dtype=np.int64)
+    sizes = np.array([[len(x) for x in c.multi_compress_to_buffer(buffer, threads=1)] for c in compressors], dtype=np.int64)
+    return sizes[0] - sizes[1:]
 
 
 def features(texts, compressors) -> np.ndarray:
-    """Per text of an Arrow string array: highest and second highest saving,
-    excess over noise, number of windows."""
+    """Per text of an Arrow string array: the number of windows; for each
+    toxic dictionary highest and second highest saving, excess over noise."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    low = pc.utf8_lower(texts).cast(pa.large_string())
+    edged = pc.binary_join_element_wise(" ", pc.utf8_lower(texts), " ", "")
+    edged = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", edged)
+    low = pc.replace_substring_regex(edged, BLANK, " ").cast(pa.large_string())
     ends = np.frombuffer(low.buffers()[1], dtype=np.int64)[low.offset:low.offset + len(low) + 1]
     raw = low.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.empty(0, dtype=np.uint8)
     begin, end, owner = windows(data, ends[:-1], ends[1:])
-    saved = savings(data, begin, end, compressors)
     n = len(texts)
-    out = np.zeros((n, 4))
-    out[:, 3] = np.bincount(owner, minlength=n)
-    out[:, 2] = np.bincount(owner, weights=np.maximum(saved - 2, 0), minlength=n)
-    order = np.lexsort((-saved, owner))
-    o = owner[order]
-    if len(o):
-        first = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
-        out[o[first], 0] = saved[order][first]
-        second = first + 1
-        second = second[(second < len(o)) & (o[np.minimum(second, len(o) - 1)] == o[second - 1])]
-        out[o[second], 1] = saved[order][second]
-    return out
+    columns = [np.bincount(owner, minlength=n)]
+    for saved in savings(data, begin, end, compressors):
+        top = np.zeros((2, n))
+        order = np.lexsort((-saved, owner))
+        o = owner[order]
+        if len(o):
+            first = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
+            top[0, o[first]] = saved[order][first]
+            second = first + 1
+            second = second[(second < len(o)) & (o[np.minimum(second, len(o) - 1)] == o[second - 1])]
+            top[1, o[second]] = saved[order][second]
+        columns += [*top, np.bincount(owner, weights=np.maximum(saved - 2, 0), minlength=n)]
+    return np.stack(columns, axis=1).astype(float)
 
 
 def _design(f: np.ndarray) -> np.ndarray:
-    top, second, excess, n = np.clip(f[:, 0], 0, 12), np.clip(f[:, 1], 0, 12), np.log1p(f[:, 2]), np.log1p(f[:, 3])
-    return np.stack([np.ones(len(f)), top, second, excess, n, np.maximum(top - 2, 0), np.maximum(top - 4, 0), excess * n], axis=1)
+    n, top, second, excess = np.log1p(f[:, 0]), np.clip(f[:, 1], 0, 12), np.clip(f[:, 2], 0, 12), np.log1p(f[:, 3])
+    return np.stack([np.ones(len(f)), n, top, second, excess, np.maximum(top - 2, 0), np.maximum(top - 4, 0), excess * n], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -160,28 +174,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def _best_cut(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The log-odds at which calling everything above toxic has the best F1."""
+    """The log-odds at which calling everything above toxic has the best F-measure."""
     order = np.argsort(-score, kind="stable")
     s, hit, miss = score[order], np.cumsum((y * weight)[order]), np.cumsum(((1 - y) * weight)[order])
     border = np.append(s[1:] != s[:-1], True)
-    f1 = 2 * hit / (hit + miss + (y * weight).sum())
-    best = int(np.argmax(np.where(border, f1, -1)))
+    f = hit / (hit + miss + RECALL**2 * (y * weight).sum())
+    best = int(np.argmax(np.where(border, f, -1)))
     low = s[best + 1] if best + 1 < len(s) else s[best] - 1
     return float((s[best] + low) / 2)
 
 
-def _train(samples: list[bytes], size: int) -> bytes:
-    """The trained dictionary; the samples themselves where they all fit or
-    are too few to train on."""
+def _train(samples: list[bytes], size: int, segment: int = SEGMENT) -> bytes:
+    """The dictionary that zstd trains on the samples."""
     import zstandard as zstd
 
-    distinct = list(dict.fromkeys(samples))
-    if sum(map(len, distinct)) > size:
-        try:
-            return zstd.train_dictionary(size, samples, k=8 if size < 4096 else 64, d=6, level=3).as_bytes()
-        except zstd.ZstdError:
-            pass
-    return b"".join(reversed(distinct))[-size:]
+    times = max(-(-TRAIN_BYTES // sum(map(len, samples))), -(-TRAIN_SAMPLES // len(samples)))  # the trainer refuses very little input
+    return zstd.train_dictionary(size, samples * times, k=segment, d=6, level=3).as_bytes()
 
 
 def _stretches(words: list[tuple[str, int]], kept: set[str]) -> dict[str, int]:
@@ -202,15 +210,13 @@ def _stretches(words: list[tuple[str, int]], kept: set[str]) -> dict[str, int]:
     return runs
 
 
-def _samples(runs: dict[str, int]) -> list[bytes]:
-    """Samples for training: runs in mixed order, the frequent ones more
-    often, eight a sample; or just the runs, if few."""
-    ordered = sorted(runs.items(), key=lambda x: (-x[1], x[0]))
-    if sum(len(r.encode()) for r in runs) <= TOXIC_SIZE:
-        return [r.encode() for r, _ in ordered]
-    each = [r for r, n in ordered for _ in range(min(n, 40))]
+def _toxic_dictionary(runs: dict[str, int]) -> bytes:
+    """Trained on samples of eight runs in mixed order, frequent ones more
+    often; empty without runs."""
+    each = [r for r, n in sorted(runs.items(), key=lambda x: (-x[1], x[0])) for _ in range(min(n, 40))]
     order = np.random.default_rng(0).permutation(len(each))
-    return ["".join(each[i] for i in order[k:k + 8]).encode() for k in range(0, len(each), 8)]
+    samples = ["".join(each[i] for i in order[k:k + 8]).encode() for k in range(0, len(each), 8)]
+    return _train(samples, GROWTH * sum(len(r.encode()) for r in runs) + SPARE) if samples else b""
 
 
 def _surplus(seen: Column, expected: Column) -> Column:
@@ -227,7 +233,7 @@ def _expected(k0: Column, k1: Column, odds: float, rate: float) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str) -> tuple[DataFrame, dict[int, float]]:
-    """(y, half, text) of at most SAMPLE labelled rows of each class, and how
+    """(y, fold, text) of at most SAMPLE labelled rows of each class, and how
     many labels of a class a sampled one stands for; ``learn`` says over
     column ``doc_id`` which labels may be used."""
     rows = (labels.select(F.col(id_col).alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter("y in (0, 1) and doc_id is not null")
@@ -235,75 +241,93 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col: s
     totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
     order = F.xxhash64("doc_id", F.lit(11))
     ids = [rows.filter(F.col("y") == c).orderBy(order, "doc_id").limit(SAMPLE) for c in (0, 1)]
-    ids = materialize(ids[0].unionByName(ids[1]).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2))), "label-sample")
+    ids = materialize(ids[0].unionByName(ids[1]).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(FOLDS)).cast("int")), "label-sample")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
-    texts = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", "half").agg(one)
-    sample = materialize(texts.select("y", "half", "text"), "sample-texts")  # at most 2 * SAMPLE rows
+    texts = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y", "fold").agg(one)
+    sample = materialize(texts.select("y", "fold", "text"), "sample-texts")  # at most 2 * SAMPLE rows
     return sample, {y: n / min(n, SAMPLE) for y, n in totals.items()}
 
 
+def _counted(words: DataFrame) -> DataFrame:
+    """The six-character strings of the words, edges marked, with the words' counts."""
+    edged = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    at = F.sequence(F.lit(1), F.greatest(F.length(edged) - (GRAM - 1), F.lit(1)))
+    return words.withColumn("gram", F.explode(F.array_distinct(F.transform(at, lambda i: F.substring(edged, i, F.lit(GRAM))))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> Model:
     session(docs.sparkSession)
     sample, stands_for = labelled_sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col)
-    sizes = {(r["y"], r["half"]): r["n"] for r in sample.groupBy("y", "half").agg(F.count("*").alias("n")).collect()}  # four rows
-    total = sum(n * stands_for[y] for (y, _), n in sizes.items())
-    share = (sizes.get((1, 0), 0) + sizes.get((1, 1), 0)) * stands_for.get(1, 0.0) / total if total else 0.0
-    if any(not sizes.get((y, h)) for y in (0, 1) for h in (0, 1)):
-        return Model(b"", b"", (), share)
-
-    n0, n1, rate = sizes[0, 0], sizes[1, 0], stands_for[0] / stands_for[1]
-    half = sample.filter("half = 0")
-    seen = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.btrim(w, F.lit(TRIM))))
-    words = (half.select("y", F.explode(seen).alias("word")).filter("word <> ''")
-             .groupBy("word").agg(F.sum("y").alias("k1"), F.sum(1 - F.col("y")).alias("k0")))
+    found = {(r["y"], r["fold"]): r["n"] for r in sample.groupBy("y", "fold").agg(F.count("*").alias("n")).collect()}  # 2 * FOLDS rows
+    sizes = np.array([[found.get((y, f), 0) for f in range(FOLDS)] for y in (0, 1)])
+    n0, n1 = sizes.sum(axis=1) * [stands_for.get(0, 0.0), stands_for.get(1, 0.0)]
+    share = n1 / (n0 + n1) if n0 + n1 else 0.0
+    if (sizes.sum(axis=1)[:, None] == sizes).any():  # a class lacks, or has one fold only
+        return Model(b"", (), (), float(share))
+
+    # counts of words and strings by class and fold; `parts` are the folds that a model learns from
+    cells = [(y, f, f"k{y}_{f}") for y in (0, 1) for f in range(FOLDS)]
+    word = F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), BLANK), lambda w: w != ""))).alias("word")
+    words = sample.select("y", "fold", word).groupBy("word").agg(*[F.count_if((F.col("y") == y) & (F.col("fold") == f)).alias(c) for y, f, c in cells])
     words = materialize(words, "sample-words")
-    edged = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    grams = (words.select("k1", "k0", edged.alias("w"))
-             .select("k1", "k0", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - (GRAM - 1), F.lit(1))),
-                                                                        lambda i: F.substring(F.col("w"), i, F.lit(GRAM))))).alias("gram"))
-             .groupBy("gram").agg(F.sum("k1").alias("k1"), F.sum("k0").alias("k0"))
-             .filter((F.col("k1") >= 3) & ((F.col("k1") + 0.5) / n1 > ODDS * (F.col("k0") + 0.5) / n0)).withColumn("surplus", _surplus(F.col("k1"), _expected(F.col("k0"), F.col("k1"), n1 / (n0 * rate), rate)))
-             .orderBy(F.desc("surplus"), "gram").limit(GRAMS))
-    grams = grams.collect()  # at most GRAMS
-    kept = {r["gram"] for k, r in enumerate(grams) if r["surplus"] >= SURPLUS or k < FEW}
-    toxic_words = words.filter("k1 >= 2").orderBy(F.desc("k1"), "word").limit(4 * GRAMS).collect()
-    runs = _stretches([(r["word"], r["k1"]) for r in toxic_words], kept)
+    grams = _counted(words).groupBy("gram").agg(*[F.sum(c).alias(c) for *_, c in cells])
+    parts = [[f for f in range(FOLDS) if f != out] for out in range(FOLDS)]
+    rate = stands_for[0] / stands_for[1]
+    for p, folds in enumerate(parts):
+        k0, k1 = (sum((F.col(f"k{y}_{f}") for f in folds), F.lit(0)) for y in (0, 1))
+        m0, m1 = (int(sizes[y, folds].sum()) for y in (0, 1))
+        odds = (k1 + 0.5) * m0 / ((k0 + 0.5) * m1)
+        strong = (k1 >= 3) & (odds >= ODDS) & (_surplus(k1, _expected(k0, k1, m1 / (m0 * rate), rate)) >= SURPLUS)
+        grams = grams.withColumn(f"odds{p}", F.when(strong, odds))
+    grams = materialize(grams.filter(F.coalesce(*[f"odds{p}" for p in range(len(parts))]).isNotNull()), "sample-strings")
+    telling = _counted(words).join(grams.select("gram"), "gram", "left_semi").drop("gram").distinct().orderBy("word").toPandas()
+    grams = grams.orderBy("gram").toPandas()
 
     def cut(batches: Iterable) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
         for b in batches:
-            for t in pc.utf8_lower(b.column("text")).to_pylist():
+            for t in pc.replace_substring_regex(pc.utf8_lower(b.column("text")), BLANK, " ").to_pylist():
                 data = np.frombuffer(t.encode(), dtype=np.uint8)
                 begin, end, _ = windows(data, np.array([0]), np.array([len(data)]))
                 yield pa.RecordBatch.from_arrays([pa.array([data[i:j].tobytes() for i, j in zip(begin, end, strict=True)], pa.binary())], names=["w"])
 
-    base = (half.filter("y = 0").select("text").mapInArrow(cut, "w binary").orderBy(F.xxhash64("w"), "w").limit(BASE_WINDOWS).collect())
-    ordinary = _train([bytes(r["w"]) for r in base], BASE_SIZE)
-    model = Model(ordinary, _train(_samples(runs), TOXIC_SIZE) + ordinary if runs else ordinary, (), share)
+    base = sample.filter("y = 0").select("text").mapInArrow(cut, "w binary").orderBy(F.xxhash64("w"), "w").toPandas()["w"].tolist()
+    ordinary = _train([bytes(w) for w in base], BASE_SIZE) if base else b""
 
-    rows = _features(sample.filter("half = 1").select(F.col("y"), "text"), model, "y", "int").collect()  # at most 2 * SAMPLE
-    f = np.array([[r["f0"], r["f1"], r["f2"], r["f3"]] for r in rows])
-    y = np.array([r["y"] for r in rows], dtype=float)
+    def toxic(p: int) -> bytes:
+        kept = set(grams["gram"][grams[f"odds{p}"].notna()])
+        counts = telling[[f"k1_{f}" for f in parts[p]]].sum(axis=1)
+        return _toxic_dictionary(_stretches([(w, int(k)) for w, k in zip(telling["word"], counts, strict=True) if k >= 2], kept))
+
+    dictionaries = tuple(toxic(p) for p in range(FOLDS))
+    rows = _features(sample, [Model(ordinary, (t,), (), 0.0) for t in dictionaries]).toPandas()  # at most 2 * SAMPLE rows
+    f, y = rows.drop(columns="y").to_numpy(dtype=float), rows["y"].to_numpy(dtype=float)
     weight = np.where(y == 1, stands_for[1], stands_for[0])
     w = _logistic(_design(f), y, weight)
     log_odds = _design(f) @ w
     w[0] -= _best_cut(log_odds, y, weight)
-    return Model(model.ordinary, model.toxic, tuple(w.tolist()), share)
+    return Model(ordinary, dictionaries, tuple(w.tolist()), float(share))
+
 
+def _features(sample: DataFrame, models: list[Model]) -> DataFrame:
+    """y and the features of each sampled text, by the model that has not seen it."""
+    names = [f"f{i}" for i in range(4)]
 
-def _features(rows: DataFrame, model: Model, key: str, kind: str) -> DataFrame:
     def measure(batches: Iterable) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        c = model.compressors()
+        made = [m.compressors() for m in models]
         for b in slices(batches, "text", SLICE_BYTES):
-            f = features(b.column("text"), c)
-            yield pa.RecordBatch.from_arrays([b.column(key), *(pa.array(f[:, i]) for i in range(4))], names=[key, "f0", "f1", "f2", "f3"])
+            for k, c in enumerate(made):
+                part = b.filter(pc.equal(b.column("fold"), k))
+                f = features(part.column("text"), c)
+                yield pa.RecordBatch.from_arrays([part.column("y"), *(pa.array(f[:, i]) for i in range(f.shape[1]))], names=["y", *names])
 
-    return rows.mapInArrow(measure, f"{key} {kind}, f0 double, f1 double, f2 double, f3 double")
+    return sample.mapInArrow(measure, "y int, " + ", ".join(f"{n} double" for n in names))
 
 
 def scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
@@ -317,7 +341,7 @@ def scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFram
 
         c = model.compressors() if model.weights else None
         for b in slices(batches, "__toxicity_text", SLICE_BYTES):
-            f = features(b.column("__toxicity_text"), c) if c else np.zeros((b.num_rows, 4))
+            f = features(b.column("__toxicity_text"), c) if c else np.zeros((b.num_rows, 1))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(model.score(f))], names=[*names, "__toxic_score"])
 
     from pyspark.sql.types import DoubleType, StructType

@@ -172,6 +172,31 @@ def test_toxicity_edges(spark, docs):
     assert not toxicity.judge(docs.limit(0), labels).count()
 
 
+def test_toxic_features_are_plain_compression():
+    import re
+
+    import pyarrow as pa
+    import zstandard as zstd
+
+    runs = {" idiot ": 9, " stupi": 7, "scum ": 5, " réeux": 8}
+    ordinary = toxicity._train([b"the quick brown fox and so on ", b"nothing to see here "], 512)
+    model = toxicity.Model(ordinary, (toxicity._toxic_dictionary(runs), toxicity._toxic_dictionary({})), (), 0.0)
+    texts = [t or "" for t in ODD] + ["You IDIOT, you scum! " * 40, "What a stupid, stupid day; réeuxpa...", "idiot"]
+    got = toxicity.features(pa.array(texts), model.compressors())
+    p = zstd.ZstdCompressionParameters(min_match=5, strategy=zstd.STRATEGY_GREEDY, window_log=16, hash_log=14, chain_log=14, search_log=4,
+                                       write_content_size=False, write_checksum=False, write_dict_id=False)
+    for text, row in zip(texts, got, strict=True):
+        data = re.sub(toxicity.BLANK, " ", f" {text.lower()} ", flags=re.ASCII).encode() if text else b""
+        begin, end, _ = toxicity.windows(np.frombuffer(data, dtype=np.uint8), np.array([0]), np.array([len(data)]))
+        want = [len(begin)]
+        for extra in model.toxic:
+            size = [[len(zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(c + toxicity.LEAD, dict_type=zstd.DICT_TYPE_RAWCONTENT), compression_params=p)
+                         .compress(toxicity.LEAD + data[i:j])) for i, j in zip(begin, end, strict=True)] for c in (ordinary, extra + ordinary)]
+            saved = sorted((a - b for a, b in zip(*size, strict=True)), reverse=True)
+            want += [*(saved + [0, 0])[:2], sum(max(x - 2, 0) for x in saved)]
+        assert row.tolist() == want, text
+
+
 def test_windows_cover_every_byte():
     for text in (b"", b"x", b"a " * 500, b"y" * 1000, b"one two\nthree " * 40):
         data = np.frombuffer(text, dtype=np.uint8)
