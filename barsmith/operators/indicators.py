@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.params import FeatureParams, DEFAULT_FEATURES, ewm_horizon
+from barsmith.params import FeatureParams, DEFAULT_FEATURES
 from barsmith.operators import sequence as S
 
 ALL = ("rsi", "sma", "ema", "macd", "bollinger", "volume", "obv", "vwap",
@@ -37,19 +37,11 @@ def layout_needs(p: FeatureParams, include) -> tuple[int, int, list[float]]:
     """(back, fwd, alphas) the requested indicators need."""
     back, alphas = 1, []
     if "rsi" in include:
-        a = 1.0 / p.rsi_period
-        alphas.append(a)
-        back = max(back, ewm_horizon(a) + 1)
+        alphas.append(1.0 / p.rsi_period)
     if "ema" in include:
-        for s in p.ema_spans:
-            a = 2.0 / (s + 1)
-            alphas.append(a)
-            back = max(back, ewm_horizon(a))
+        alphas += [2.0 / (s + 1) for s in p.ema_spans]
     if "macd" in include:
-        af, as_, asig = (2.0 / (p.macd_fast + 1), 2.0 / (p.macd_slow + 1),
-                         2.0 / (p.macd_signal + 1))
-        alphas += [af, as_, asig]
-        back = max(back, max(ewm_horizon(af), ewm_horizon(as_)) + ewm_horizon(asig))
+        alphas += [2.0 / (s + 1) for s in (p.macd_fast, p.macd_slow, p.macd_signal)]
     if include & {"sma", "bollinger", "volume", "vwap", "price", "lags"}:
         back = max(back, p.rolling_lookback())
     fwd = p.target_horizon if "target" in include else 0
@@ -71,7 +63,7 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
     inc = set(include)
     by = list(by)
     back, fwd, alphas = layout_needs(p, inc)
-    block = S.max_block_rows(alphas, back, fwd)
+    block = S.max_block_rows(alphas, 0, 0)
 
     d = S.with_ordinal(bars, by, order, period=period)
     d = S.blocked(d, by, block, back, fwd)
@@ -80,17 +72,12 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
     lag = lambda x, k: F.lag(x, k).over(S.block_window(by))
     c1 = lag(c, 1)
 
-    # ---- stage 1: lags, rolling aggregates, EWMs of close ------------------
+    # ---- stage 1: lags, rolling aggregates ---------------------------------
     s1: list[Column] = []
     if "rsi" in inc or "obv" in inc:
         s1.append((c - c1).alias("_d1"))
     if "sma" in inc:
         s1 += [S.gated_rolling(F.avg, c, by, w).alias(f"sma_{w}") for w in p.sma_windows]
-    if "ema" in inc:
-        s1 += [S.ewm(c, 2.0 / (s + 1), by).alias(f"ema_{s}") for s in p.ema_spans]
-    if "macd" in inc:
-        s1.append((S.ewm(c, 2.0 / (p.macd_fast + 1), by)
-                   - S.ewm(c, 2.0 / (p.macd_slow + 1), by)).alias("macd_line"))
     if "bollinger" in inc:
         s1.append(S.gated_rolling(F.avg, c, by, p.bb_window).alias("_bb_mid"))
         s1.append(S.gated_rolling(F.stddev_samp, c, by, p.bb_window).alias("_bb_std"))
@@ -118,24 +105,7 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
             s1.append(fwd_ret.alias("target"))
     d = d.select("*", *s1)
 
-    # ---- stage 2: EWMs of derived columns (same window spec) --------------
-    s2: list[Column] = []
-    if "rsi" in inc:
-        a = 1.0 / p.rsi_period
-        gain = F.greatest(F.col("_d1"), F.lit(0.0))
-        loss = F.greatest(-F.col("_d1"), F.lit(0.0))
-        ag = S.ewm(gain, a, by, seed_ord=1)
-        al = S.ewm(loss, a, by, seed_ord=1)
-        rs = _div(ag, al)
-        s2.append((F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)).alias(f"rsi_{p.rsi_period}"))
-    if "macd" in inc:
-        s2.append(S.ewm(F.col("macd_line"), 2.0 / (p.macd_signal + 1), by).alias("macd_signal"))
-    if s2:
-        d = d.select("*", *s2)
-
-    # ---- stage 3: row-local expressions -----------------------------------
-    if "macd" in inc:
-        d = d.withColumn("macd_hist", F.col("macd_line") - F.col("macd_signal"))
+    # ---- stage 2: row-local expressions -----------------------------------
     if "bollinger" in inc:
         mid, sd = F.col("_bb_mid"), F.col("_bb_std")
         up = mid + F.lit(p.bb_std) * sd
@@ -149,7 +119,32 @@ def compute_indicators(bars: DataFrame, params: FeatureParams = DEFAULT_FEATURES
         vwap = _div(F.col("_vw_num"), F.col("_vw_den"))
         d = d.withColumn("vwap_dev", _div(c - vwap, vwap))
 
+    if "rsi" in inc:  # a NULL change stays NULL
+        moved = F.col("_d1").isNotNull()
+        d = d.select("*", F.when(moved, F.greatest(F.col("_d1"), F.lit(0.0))).alias("_gain"),
+                     F.when(moved, F.greatest(-F.col("_d1"), F.lit(0.0))).alias("_loss"))
     d = d.filter(F.col(S.HOME))
+
+    # ---- stage 3: exponential averages over the whole history --------------
+    means = {}
+    if "ema" in inc:
+        means |= {f"ema_{s}": ("close", 2.0 / (s + 1)) for s in p.ema_spans}
+    if "macd" in inc:
+        means |= {"_fast": ("close", 2.0 / (p.macd_fast + 1)), "_slow": ("close", 2.0 / (p.macd_slow + 1))}
+    if "rsi" in inc:
+        means |= {"_ag": ("_gain", 1.0 / p.rsi_period), "_al": ("_loss", 1.0 / p.rsi_period)}
+    if means:
+        if stage is not None:
+            d = stage(d)
+        d = S.ewm_columns(d, by, means)
+    if "rsi" in inc:
+        rs = _div(F.col("_ag"), F.col("_al"))
+        d = d.withColumn(f"rsi_{p.rsi_period}", F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs))
+    if "macd" in inc:
+        d = d.withColumn("macd_line", F.col("_fast") - F.col("_slow"))
+        d = S.ewm_columns(d, by, {"macd_signal": ("macd_line", 2.0 / (p.macd_signal + 1))})
+        d = d.withColumn("macd_hist", F.col("macd_line") - F.col("macd_signal"))
+
     sums, totals = {}, {}
     if "obv" in inc:
         # cumsum(sign(diff) * volume); first row 0 (sign NaN -> 0)

@@ -70,6 +70,22 @@ def target_classification(spark, sf_dir):
     return rounded(ind.select("ticker", "date", "target"))
 
 
+# W3-W5 with NULL closes: about every sixth day, and the first ones ---------
+_HOLES = "date < DATE '1992-03-01' OR CAST(dayofyear(date) AS INT) % 6 IN (0, 1)"
+_EWM_COLS = ("rsi_14", "ema_12", "ema_26", "macd_line", "macd_signal", "macd_hist")
+
+
+@query("ind_ema_nulls", lambda: Q.cte(
+    bars=Q.BARS_D, holed=f"  SELECT ticker, date, CASE WHEN {_HOLES} THEN NULL ELSE close END AS close FROM bars",
+    bn=Q.numbered("holed"), ewm=Q.ewm_recursive_nulls("bn")) + "SELECT b.ticker, b.date, " + ", ".join(R(e, c) for e, c in zip(
+        ("100 - 100 / (1 + e.ag / NULLIF(e.al, 0))", "e.e12", "e.e26", "e.e12 - e.e26", "e.sig", "(e.e12 - e.e26) - e.sig"), _EWM_COLS, strict=True)) +
+       " FROM bn b JOIN ewm e ON b.ticker = e.ticker AND b.rn = e.rn")
+def q_ind_ema_nulls(spark, sf_dir):
+    """EMA, MACD and RSI where closes are missing inside and at the beginning."""
+    bars = bar_table(spark, sf_dir).withColumn("close", F.when(~F.expr(_HOLES), F.col("close")))
+    return rounded(compute_indicators(bars, P, ("rsi", "ema", "macd")).select("ticker", "date", *_EWM_COLS))
+
+
 # W13 flagship -----------------------------------------------------------------
 def _fm_sql(select: str, tail: str = "") -> str:
     return Q.cte(**Q.feature_ctes()) + f"SELECT {select} FROM fm {tail}"

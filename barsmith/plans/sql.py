@@ -71,6 +71,32 @@ def ewm_recursive(src: str = "bn") -> str:
   FROM ewm r JOIN {src} b ON b.ticker = r.ticker AND b.rn = r.rn + 1"""
 
 
+def ewm_recursive_nulls(src: str = "bn") -> str:
+    """The same means where closes may be NULL, one row at a time: the old
+    weight (w*) decays over NULL rows and the next value renormalises."""
+    means = {"e12": ("x.close", _alpha(P.macd_fast)), "e26": ("x.close", _alpha(P.macd_slow)),
+             "ag": ("greatest(x.d, 0)", f"(CAST(1 AS DOUBLE) / {P.rsi_period})"), "al": ("greatest(-x.d, 0)", f"(CAST(1 AS DOUBLE) / {P.rsi_period})")}
+
+    def mean(m, x, a):
+        x = f"CASE WHEN {'x.close' if m[0] == 'e' else 'x.d'} IS NOT NULL THEN {x} END"
+        return (f"CASE WHEN r.{m} IS NULL THEN {x} WHEN ({x}) IS NULL THEN r.{m} "
+                f"ELSE (r.w{m} * (1 - {a}) * r.{m} + {a} * ({x})) / (r.w{m} * (1 - {a}) + {a}) END AS {m}, "
+                f"CASE WHEN r.{m} IS NULL OR ({x}) IS NOT NULL THEN CAST(1 AS DOUBLE) ELSE r.w{m} * (1 - {a}) END AS w{m}")
+
+    one = "CAST(1 AS DOUBLE)"
+    step = ", ".join(mean(m, x, a) for m, (x, a) in means.items())
+    a9 = _alpha(P.macd_signal)
+    return f"""
+  SELECT ticker, rn, close AS e12, {one} AS we12, close AS e26, {one} AS we26,
+         CAST(NULL AS DOUBLE) AS ag, {one} AS wag, CAST(NULL AS DOUBLE) AS al, {one} AS wal, close - close AS sig
+  FROM {src} WHERE rn = 1
+  UNION ALL
+  SELECT ticker, rn, e12, we12, e26, we26, ag, wag, al, wal,
+         CASE WHEN sig0 IS NULL THEN e12 - e26 ELSE {a9} * (e12 - e26) + (1 - {a9}) * sig0 END AS sig
+  FROM (SELECT x.ticker, x.rn, {step}, r.sig AS sig0
+        FROM ewm r JOIN (SELECT *, close - prev_close AS d FROM {src}) x ON x.ticker = r.ticker AND x.rn = r.rn + 1)"""
+
+
 def _roll(expr: str, n: int, agg: str = "avg") -> str:
     w = f"OVER (PARTITION BY b.ticker ORDER BY b.date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     return f"CASE WHEN count({expr}) {w} = {n} THEN {agg}({expr}) {w} END"

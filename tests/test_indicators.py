@@ -160,3 +160,31 @@ def test_blocked_ewm_property(spark):
         np.testing.assert_allclose(got, exp, rtol=1e-12)
 
     check()
+
+
+@pytest.mark.parametrize("alpha", [1.0, 0.9, 2 / 13, 1 / 14, 0.001])
+def test_ewm_columns_equal_pandas_with_nulls(spark, monkeypatch, alpha):
+    """Leading, interior and trailing NULLs, runs longer than a block, a
+    series without values, and several superblocks."""
+    from barsmith.operators import sequence as S
+
+    monkeypatch.setattr(S, "_SUPER", 3)
+    rng = np.random.default_rng(8)
+    parts = []
+    for k, (n, holes) in enumerate([(300, 0.0), (300, 0.4), (200, 0.95), (40, 1.0), (1, 0.0)]):
+        x = 100 + np.cumsum(rng.normal(0, 1, n))
+        x[rng.random(n) < holes] = np.nan
+        if k == 1:
+            x[:37], x[100:150] = np.nan, np.nan
+        parts.append(pd.DataFrame({"ticker": None if k == 4 else f"T{k}", "date": pd.bdate_range("2020-01-01", periods=n).date, "x": x}))
+    pdf = pd.concat(parts)
+    rows = [(t, d, None if np.isnan(x) else float(x)) for t, d, x in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "ticker string, date date, x double")
+    d = S.blocked(S.with_ordinal(df, ["ticker"], "date"), ["ticker"], 16, 0, 0).filter(F.col(S.HOME))
+    got = S.ewm_columns(d, ["ticker"], {"e": ("x", alpha)}).select("ticker", "date", "e").collect()
+    want = {(t, d): e for t, g in pdf.groupby("ticker", dropna=False) for d, e in zip(g.date, g.x.ewm(alpha=alpha, adjust=False).mean(), strict=True)}
+    want = {(None if t is np.nan or t is None or t != t else t, d): e for (t, d), e in want.items()}
+    assert len(got) == len(want)
+    for r in got:
+        e = want[r.ticker, r.date]
+        assert (r.e is None) == bool(np.isnan(e)) and (r.e is None or abs(r.e - e) <= 1e-11 * abs(e)), (r, e)
