@@ -6,7 +6,8 @@ they are sorted by start (lexsort), the running maximum of their ends is taken
 (maximum.accumulate), and a group begins where a start reaches that maximum.
 Within a group every A token is linked to every B token.
 
-A slice (about ``SLICE_BYTES`` of text, cut by a worker) keeps its id pairs
+A worker encodes about ``ENCODE_BYTES`` of text at once and aligns slices of
+about ``SLICE_BYTES`` of it.  A slice keeps its id pairs
 once, and each document refers to them by place, with how often it holds them.
 What leaves the worker for the corpus-wide counts is one row for each pair and
 slice; they are summed (with map-side partial sums), the best count of each A
@@ -39,7 +40,7 @@ from barsmith.llm.bpe_pairs import PairBPE, codec, gathered, pieces, spans, sums
 from barsmith.llm.common import session, text_of, tokenizer_path
 from barsmith.session import materialize
 
-SLICE_BYTES = 8 << 20
+ENCODE_BYTES, SLICE_BYTES = 12 << 20, 3 << 20
 WIDE = 1 << 16
 MARK = "▁"
 
@@ -64,9 +65,8 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, side by side, and where each text's end."""
-        many = self.sp.encode(texts, num_threads=1)
-        ends = np.cumsum([len(x) for x in many], dtype=np.int64)
-        return np.fromiter((i for x in many for i in x), dtype=np.int64, count=int(ends[-1]) if len(ends) else 0), ends
+        many = [np.array(self.sp.encode(t), dtype=np.int64) for t in texts]  # one text's list at a time
+        return np.concatenate([*many, np.empty(0, dtype=np.int64)]), np.cumsum([len(x) for x in many], dtype=np.int64)
 
 
 def loaded(path: str) -> Pieces:
@@ -157,15 +157,17 @@ def _written(ids: np.ndarray, close: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, lengths
 
 
-def align(texts: list[str], a_codec: PairBPE, b_model: Pieces) -> Aligned:
-    """Alignment of texts that each begin with the space put before them."""
+def align(texts: list[str], a_codec: PairBPE, b_model: Pieces, encoded: tuple[np.ndarray, np.ndarray] | None = None) -> Aligned:
+    """Alignment of texts that each begin with the space put before them;
+    ``encoded``: their A ids and where each text's end, if known."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
     column = pa.array(texts, pa.string())
     sizes = np.asarray(pc.binary_length(column)).astype(np.int64)
     data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
-    a, a_ends = a_codec.encode(column, specials=False)  # lossless: a byte-level vocabulary has every byte
+    # lossless: a byte-level vocabulary has every byte
+    a, a_ends = encoded or a_codec.encode(column, specials=False)
     b, b_ends = b_model.encode([t[1:] for t in texts])
     valid = sums(b_model.lengths[b], b_ends) == sizes
     b, b_ends = _kept(b, b_ends, valid)
@@ -208,8 +210,24 @@ def align_long(text: str, a_codec: PairBPE, b_model: Pieces, limit: int) -> Alig
     return Aligned(parts[0].valid, add("n_a"), add("n_b"), add("n_groups"), add("n_links"), [b"".join(p.written[0] for p in parts)], *pairs)
 
 
+def aligned(batches: Iterable, a_codec: PairBPE, b_model: Pieces, encode_bytes: int, slice_bytes: int) -> Iterator:
+    """(rows, texts, their alignment), slice after slice."""
+    for t in gathered(batches, "text", encode_bytes):
+        column = t.column("text").combine_chunks()
+        if len(column) == 1 and len(column[0].as_py()) > slice_bytes:
+            yield t, column.to_pylist(), align_long(column[0].as_py(), a_codec, b_model, slice_bytes)
+            continue
+        ids, ends = a_codec.encode(column, specials=False)
+        at = 0
+        for part in gathered(t.to_batches(), "text", slice_bytes):
+            own = np.append(0, ends)[at:at + part.num_rows + 1]
+            texts = part.column("text").to_pylist()
+            yield part, texts, align(texts, a_codec, b_model, (ids[own[0]:own[-1]], own[1:] - own[0]))
+            at += part.num_rows
+
+
 def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text",
-               slice_bytes: int = SLICE_BYTES) -> DataFrame:
+               encode_bytes: int = ENCODE_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Documents' own figures and, in rows of their own, the slices' pairs:
     slice, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links and times
     (binary, 32-bit: places in the slice's pairs, how often); or slice,
@@ -229,9 +247,7 @@ def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None =
 
         a_codec, b_model = codec(a_path), loaded(b_path)
         number = TaskContext.get().partitionId() << 32
-        for t in gathered(batches, "text", slice_bytes):
-            texts = t.column("text").to_pylist()
-            x = align_long(texts[0], a_codec, b_model, slice_bytes) if len(texts) == 1 and len(texts[0]) > slice_bytes else align(texts, a_codec, b_model)
+        for t, texts, x in aligned(batches, a_codec, b_model, encode_bytes, slice_bytes):
             codes, places, holders = np.unique(x.pair_code, return_inverse=True, return_counts=True)
             cuts = np.searchsorted(x.pair_text, np.arange(len(texts) + 1)).tolist()
             places, times = places.astype("<i4"), x.pair_times.astype("<i4")

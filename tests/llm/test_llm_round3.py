@@ -127,7 +127,7 @@ def plain_rows(rows):
 @pytest.mark.parametrize(("slice_bytes", "wide"), [(alignment.SLICE_BYTES, alignment.WIDE), (700, 2)])
 def test_alignment(docs, monkeypatch, slice_bytes, wide):
     few = docs.filter("doc_id < 60 or doc_id >= 5000 or doc_id is null")
-    got = alignment.linked_counts(few, slice_bytes=slice_bytes)
+    got = alignment.linked_counts(few, slice_bytes=slice_bytes, encode_bytes=3 * slice_bytes)
     assert sorted(map(tuple, got.collect()), key=repr) == plain_rows(rows_of(few))
     a, b = bpe_pairs.codec(BYTE), alignment.loaded(PIECE)
     texts = [" " + t for _, t in rows_of(few) if t]
