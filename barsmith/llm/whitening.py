@@ -25,6 +25,7 @@ one vector, give no rows; other columns are ignored.  An overflow of 64 bits in
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import Matrices
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -62,7 +63,8 @@ def blocks(rows: DataFrame, n: int, d: int, mean: Column) -> BlockMatrix:
     """Centred rows, indexed by ``row`` into distributed blocks."""
     centred = F.zip_with(F.col("x"), mean, lambda x, m: x.cast("double") - m)
     vectors = MLUtils.convertVectorColumnsFromML(rows.select(F.col("row").alias("index"), array_to_vector(centred).alias("vector")), "vector")
-    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(BLOCK_ROWS, d)
+    # kept for the products that read it; a lost block is made again from the written rows
+    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(BLOCK_ROWS, d).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def gram(m: BlockMatrix) -> np.ndarray:
