@@ -371,7 +371,11 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str
     links = materialize(links, "links")
     roots = components(links)
     known = maps.join(roots.withColumnRenamed("node", "c1"), "c1", "left").withColumn("root", F.coalesce("root", "c1"))
-    left = dealt(mine.join(known, "c1"), "size", "bits", "root").mapInArrow(_undecided, "key long, i long, j long, c1 long")
+    # only units whose sets have two roots or more can hold a link that matters
+    mixed = mine.join(roots.withColumnRenamed("node", "c1"), "c1", "left").groupBy("key", "i", "j").agg(
+        F.min(F.coalesce("root", "c1")).alias("lo"), F.max(F.coalesce("root", "c1")).alias("hi")).filter("lo < hi").select("key", "i", "j")
+    mixed = materialize(mixed, "mixed-units")
+    left = dealt(mine.join(mixed, ["key", "i", "j"]).join(known, "c1"), "size", "bits", "root").mapInArrow(_undecided, "key long, i long, j long, c1 long")
     left = materialize(left, "undecided")
     if left.isEmpty():
         return roots
