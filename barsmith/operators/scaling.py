@@ -1,12 +1,20 @@
 """Scalers fitted on a training frame (M4-M6).
 
-A fitted scaler is a tiny table ``(feature, center, scale)`` — one row per
+:class:`ColumnScaler` is the pipeline stage: an Estimator over columns, fitted by
+exact distributed quantiles (or moments), whose model holds one centre and scale
+a column as parameters, so a pipeline with it is saved and loaded by Spark ML.
+The functions below it are its parts.  There a fitted scaler is a tiny table ``(feature, center, scale)`` — one row per
 feature — so applying it is a broadcast of a schema-sized table, and
 persisting it is a parquet write (the reference pickles it).
 """
 
 from __future__ import annotations
 
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +63,52 @@ def save_scaler(scaler: DataFrame, path: str) -> None:
 
 def load_scaler(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+class _Method(HasInputCols):
+    method = Param(Params._dummy(), "method", "robust (median, quartile range) or standard (mean, population deviation)", TypeConverters.toString)
+
+    def getMethod(self) -> str:
+        return self.getOrDefault(self.method)
+
+
+class ColumnScaler(Estimator, _Method, DefaultParamsReadable, DefaultParamsWritable):
+    """Fits centre and scale of ``inputCols``; a scale of 0 counts as 1, a
+    column without values gets centre 0 and scale 1."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, method="robust"):
+        super().__init__()
+        self._setDefault(method="robust")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> ColumnScalerModel:
+        cols, method = self.getInputCols(), self.getMethod()
+        fits = {"robust": fit_robust, "standard": fit_standard}
+        if method not in fits:
+            raise ValueError(f"method must be one of {sorted(fits)}, not {method!r}")
+        found = {r["feature"]: (r["center"], r["scale"]) for r in fits[method](dataset, cols).collect()}  # one row a column
+        centers, scales = zip(*(found.get(c, (0.0, 1.0)) for c in cols), strict=True)
+        return ColumnScalerModel(inputCols=cols, method=method, centers=[float(c) for c in centers], scales=[float(x) for x in scales])
+
+
+class ColumnScalerModel(Model, _Method, DefaultParamsReadable, DefaultParamsWritable):
+    """Scales its columns in place, (x - center) / scale; other columns and
+    NULLs stay.  A projection: no join, no shuffle."""
+
+    centers = Param(Params._dummy(), "centers", "centre of each input column", TypeConverters.toListFloat)
+    scales = Param(Params._dummy(), "scales", "scale of each input column", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, method=None, centers=None, scales=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def parameters(self, spark: SparkSession) -> DataFrame:
+        """(feature, center, scale), as :func:`fit_robust` gives."""
+        rows = list(zip(self.getInputCols(), self.getOrDefault(self.centers), self.getOrDefault(self.scales), strict=True))
+        return spark.createDataFrame(rows, "feature string, center double, scale double")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        by = dict(zip(self.getInputCols(), zip(self.getOrDefault(self.centers), self.getOrDefault(self.scales), strict=True), strict=True))
+        return dataset.select(*[((F.col(c) - F.lit(by[c][0])) / F.lit(by[c][1])).alias(c) if c in by else F.col(c) for c in dataset.columns])

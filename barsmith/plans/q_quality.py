@@ -91,7 +91,7 @@ def q_dq_validate_bars(spark, sf_dir):
     return QL.validate_ohlcv(daily_bars(spark, sf_dir))
 
 
-@query("dq_assert")
+@query("dq_assert", lambda: Q.cte(raw=Q.BARS_D, c=COUNTS_SQL) + _validate_sql("c"))
 def q_dq_assert(spark, sf_dir):
     """Q2: raises on invalid bars; returns the (valid) validation table."""
     from barsmith.sources.bars import daily_bars

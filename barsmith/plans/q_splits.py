@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from barsmith.operators import splits as SP
 from barsmith.operators.features import feature_matrix
 from barsmith.operators.metrics import compute_metrics, cv_average, naive_mean
-from barsmith.operators.scaling import fit_robust, fit_standard
+from barsmith.operators.scaling import ColumnScaler, fit_robust, fit_standard
 from barsmith.params import DEFAULT_FEATURES as P, DEFAULT_SPLITS as S
 from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
-from barsmith.session import materialize
+from barsmith.session import checkpoint_dir, materialize
 from barsmith.sources.bars import bar_table
 
 TEST_FRAC = 1.0 - S.test_size          # the same double on both sides
@@ -118,6 +122,38 @@ def q_standard_scale(spark, sf_dir):
     return rounded(fit_standard(train, FEATS))
 
 
+def _scaled_sql(tail: str) -> str:
+    quartiles = ", ".join(f"quantile_cont({f}, 0.5) AS c_{f}, CASE WHEN quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) = 0 THEN 1.0 "
+                          f"ELSE quantile_cont({f}, 0.75) - quantile_cont({f}, 0.25) END AS s_{f}" for f in FEATS)
+    cols = ", ".join(R(f"({f} - c_{f}) / s_{f}", f) for f in FEATS)
+    return Q.cte(**_g_ctes({"sc": f"  SELECT {quartiles} FROM g3 WHERE split = 'train'"})) + \
+        f"SELECT ticker, date, split, {cols}, {R('target', 'target')} FROM g3, sc {tail}"
+
+
+def _fitted_pipeline(d):
+    """The robust scaler of the training split, as a Spark ML pipeline."""
+    return Pipeline(stages=[ColumnScaler(inputCols=FEATS)]).fit(d.filter(F.col("split") == "train"))
+
+
+@query("scaled_matrix", lambda: _scaled_sql(""))
+def q_scaled_matrix(spark, sf_dir):
+    """M4 applied: all rows of the train, validation and test splits, scaled
+    by the training split's median and quartile range."""
+    d = materialize(SP.three_way_split(_fm(spark, sf_dir)), "split")
+    return rounded(_fitted_pipeline(d).transform(d).select("ticker", "date", "split", *FEATS, "target"))
+
+
+@query("scaler_roundtrip", lambda: _scaled_sql("WHERE split = 'test'"))
+def q_scaler_roundtrip(spark, sf_dir):
+    """M6: the fitted pipeline is saved under the shared folder and loaded
+    again; the loaded one scales the test split."""
+    d = materialize(SP.three_way_split(_fm(spark, sf_dir)), "split")
+    path = os.path.join(checkpoint_dir(spark), f"scaler-{uuid.uuid4().hex[:12]}")
+    _fitted_pipeline(d).write().save(path)
+    test = PipelineModel.load(path).transform(d.filter(F.col("split") == "test"))
+    return rounded(test.select("ticker", "date", "split", *FEATS, "target"))
+
+
 # ---- A13 / A6 / A7 -------------------------------------------------------------------
 def _metric_sql(y: str, p: str, r) -> str:
     return ", ".join([
