@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barsmith.functions.dates import epoch_ms_minute
 from barsmith.functions.numeric import round_half_away
+from barsmith.operators import sequence as S
 from barsmith.operators.quantiles import rank_select, wide_quantiles
 
 # Job-name prefixes, event kinds and the log keywords.
@@ -46,6 +47,45 @@ def latency_buckets(lat: DataFrame, ts: str = "ts", value: str = "latency_ms",
     return q.orderBy(F.desc("bucket")).limit(keep)
 
 
+def latency_trailing(lat: DataFrame, *, by=("event_type",), ts: str = "ts", value: str = "latency_ms", tiebreak: str = "event_id",
+                     n: int = 1000, block: int = 4096) -> DataFrame:
+    """For each request p50 / p95 / p99 of the newest ``n`` latencies of
+    its series up to it (sorted[int(m * p)], p99 capped at m - 1, m <= n).
+
+    Series are cut into blocks of ``block`` rows that hold the ``n - 1`` rows
+    before them as a halo, so a task sees block + n rows at a time and no
+    series is one task.  NULL latencies are left out."""
+    by = list(by)
+    rows = lat.filter(F.col(value).isNotNull()).select(*by, ts, tiebreak, F.col(value).cast("double").alias("v"))
+    d = S.blocked(S.with_ordinal(rows, by, ts, period="day", tiebreak=(tiebreak,)), by, block, n - 1, 0)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*by, ts, tiebreak)) + ", p50 double, p95 double, p99 double"
+
+    def slide(rows):
+        import numpy as np
+        import pyarrow as pa
+
+        rows = rows.sort_by(S.ORD)
+        home = np.asarray(rows.column(S.HOME).combine_chunks().to_numpy(zero_copy_only=False), dtype=bool)
+        v, at = rows.column("v").to_numpy(), np.flatnonzero(home)
+        count = np.minimum(rows.column(S.ORD).to_numpy()[at] + 1, n)  # values that each request looks back on
+        out = np.empty((3, len(at)))
+        for m in np.unique(count):  # n, and in a series' first block 1 .. n - 1
+            mine = np.flatnonzero(count == m)
+            ranks = [int(m * 0.5), int(m * 0.95), min(int(m * 0.99), m - 1)]
+            ends = at[mine] + 1
+            for part in np.array_split(np.arange(len(mine)), -(-len(mine) // 1024)):  # at most 1024 windows at once
+                windows = v[ends[part][:, None] - m + np.arange(m)]
+                out[:, mine[part]] = np.partition(windows, sorted(set(ranks)), axis=1)[:, ranks].T
+        kept = rows.select([*by, ts, tiebreak]).filter(pa.array(home))
+        for name, p in zip(("p50", "p95", "p99"), out, strict=True):
+            kept = kept.append_column(name, pa.array(p))
+        return kept
+
+    q = d.groupBy(*by, S.BLK).applyInArrow(slide, schema)
+    return q.select(*by, ts, tiebreak, *[round_half_away(F.col(p), 2).alias(f"{p}_ms") for p in ("p50", "p95", "p99")])
+
+
 def last_n(df: DataFrame, n: int = 1000, order: str = "ts", tiebreak: str = "event_id") -> DataFrame:
     """Newest ``n`` rows (top-k: a bounded per-partition heap, no full
     sort); ties at the cut go to the larger ``tiebreak``."""

@@ -56,6 +56,20 @@ def q_latency_buckets(spark, sf_dir):
     return O.latency_buckets(latency_view(spark, sf_dir))
 
 
+def _trailing_sql():
+    at = {"p50": "CAST(floor(len(l) * CAST(0.5 AS DOUBLE)) AS BIGINT)", "p95": "CAST(floor(len(l) * CAST(0.95 AS DOUBLE)) AS BIGINT)",
+          "p99": "least(CAST(floor(len(l) * CAST(0.99 AS DOUBLE)) AS BIGINT), len(l) - 1)"}
+    return "SELECT event_type, ts, event_id, " + ", ".join(f"{sql_round(f'list_sort(l)[{i} + 1]', 2)} AS {p}_ms" for p, i in at.items()) + """
+FROM (SELECT event_type, ts, event_id, list(value) OVER (PARTITION BY event_type ORDER BY ts, event_id
+                                                         ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS l FROM events)"""
+
+
+@query("latency_trailing", _trailing_sql)
+def q_latency_trailing(spark, sf_dir):
+    """Percentiles over the newest 1000 requests of a type, at each request."""
+    return O.latency_trailing(latency_view(spark, sf_dir))
+
+
 @query("last_n_log", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000")
 def q_last_n_log(spark, sf_dir):
     """The newest 1000 requests (the ring buffer's content)."""
