@@ -5,7 +5,7 @@ J4, J7, S16, S17, T5, U3, W14, W15).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import epoch_ms_minute
@@ -47,6 +47,19 @@ def latency_buckets(lat: DataFrame, ts: str = "ts", value: str = "latency_ms",
     return q.orderBy(F.desc("bucket")).limit(keep)
 
 
+def buckets_of_counts(counts: DataFrame, keep: int = 1440) -> DataFrame:
+    """ST3 / T5: p50 / p95 / p99 by rank of the newest ``keep`` buckets from
+    (bucket, value, n): the newest buckets are chosen first, then a value holds
+    the ranks from the counts before it up to its own."""
+    newest = counts.select("bucket").distinct().orderBy(F.desc("bucket")).limit(keep)  # keep rows
+    mine = Window.partitionBy("bucket")
+    upto = mine.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    d = counts.join(newest, "bucket", "left_semi").select("bucket", "value", F.sum("n").over(upto).alias("hi"), F.col("n").alias("own"), F.sum("n").over(mine).alias("m"))
+    ranks = {"p50": F.floor(F.col("m") * F.lit(0.5)), "p95": F.floor(F.col("m") * F.lit(0.95)), "p99": F.least(F.floor(F.col("m") * F.lit(0.99)), F.col("m") - 1)}
+    holds = lambda r: (r < F.col("hi")) & (r >= F.col("hi") - F.col("own"))
+    return d.groupBy("bucket").agg(*[round_half_away(F.max(F.when(holds(r), F.col("value"))), 2).alias(f"{p}_ms") for p, r in ranks.items()])
+
+
 def latency_trailing(lat: DataFrame, *, by=("event_type",), ts: str = "ts", value: str = "latency_ms", tiebreak: str = "event_id",
                      n: int = 1000, block: int = 4096) -> DataFrame:
     """For each request p50 / p95 / p99 of the newest ``n`` latencies of

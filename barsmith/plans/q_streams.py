@@ -79,22 +79,12 @@ def q_stream_drift_window(spark, sf_dir):
 # ---- ST3 latency buckets ------------------------------------------------------------------
 @query("stream_latency_buckets", QO._bucket_sql)
 def q_stream_latency_buckets(spark, sf_dir):
-    """Tumbling 1-minute buckets with exact rank percentiles; state per
-    bucket is the bucket's latencies (bounded by the request rate) and is
-    evicted by the 1-minute watermark."""
+    """Tumbling 1-minute buckets with exact rank percentiles.  The state is a
+    count for each (bucket, value), mergeable and evicted by the 1-minute
+    watermark; ranks are taken from the counts, so a busy minute is no row."""
     ev = _events(spark, sf_dir).withWatermark("ts", "1 minute")
-    g = ev.groupBy(F.window("ts", "1 minute")["start"].alias("bucket")).agg(
-        F.sort_array(F.collect_list("value")).alias("v"))
-
-    def at(p, cap=False):
-        i = F.floor(F.size("v") * F.lit(p))
-        if cap:
-            i = F.least(i, F.size("v") - 1)
-        return round_col(F.element_at("v", (i + 1).cast("int")), 2)
-
-    b = g.select("bucket", at(0.5).alias("p50_ms"), at(0.95).alias("p95_ms"), at(0.99, True).alias("p99_ms"))
-    out = run_to_table(b, "latency", mode="update", keys=["bucket"])
-    return out.withColumn("bucket", _ntz("bucket")).orderBy(F.desc("bucket")).limit(1440)
+    counts = ev.groupBy(F.window("ts", "1 minute"), "value").count().select(F.col("window.start").alias("bucket"), "value", F.col("count").alias("n"))
+    return O.buckets_of_counts(run_to_table(counts, "latency", mode="update", keys=["bucket", "value"]).withColumn("bucket", _ntz("bucket")))
 
 
 # ---- ST4 last-N state -----------------------------------------------------------------------
