@@ -10,6 +10,7 @@ from barsmith.plans import sql as Q
 from barsmith.params import DEFAULT_FEATURES
 from barsmith.plans.registry import R, query, rounded
 from barsmith.sources import bars as SB
+from barsmith.sources import snapshots as SN
 from barsmith.sources import store as ST
 from barsmith.sources.bars import bar_table, daily_bars
 
@@ -138,12 +139,11 @@ def _baseline_sql():
 
 @query("baseline_roundtrip", _baseline_sql)
 def q_baseline_roundtrip(spark, sf_dir):
-    """Baseline written as a parquet table and as JSON, read back."""
+    """The baseline published as a snapshot, exported as JSON documents
+    from there, and read back from the documents."""
     from barsmith.plans.q_drift import _event_base, FEATS, _round_arrays
     path = ST.scratch_path(spark, "baseline")
-    base = baseline_stats(_event_base(spark, sf_dir), FEATS)
-    base.write.mode("overwrite").parquet(path + "/table")
-    back = spark.read.parquet(path + "/table")
-    # JSON export of the same rows (the reference's document form)
-    back.select(F.to_json(F.struct(*back.columns)).alias("value")).write.mode("overwrite").text(path + "/json")
-    return _round_arrays(rounded(back), ["bin_edges"], 6)
+    SN.publish(baseline_stats(_event_base(spark, sf_dir), FEATS), path + "/table", "baseline")
+    table = SN.read_commit(spark, path + "/table")
+    SN.write_documents(table, path + "/json")
+    return _round_arrays(rounded(SN.read_documents(spark, path + "/json", table.schema)), ["bin_edges"], 6)

@@ -7,6 +7,8 @@ live window ts >= 2024-01-24; capture lines built from the live events.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from barsmith.operators import drift as D
@@ -14,7 +16,9 @@ from barsmith.operators.profile import baseline_stats, to_long
 from barsmith.params import DEFAULT_DRIFT as DP
 from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded, sql_round
+from barsmith.session import checkpoint_dir
 from barsmith.sources import captures as C
+from barsmith.sources.snapshots import fingerprint, publish, read_commit
 
 FEATS = C.EVENT_FEATURES
 PSI_PROBS = [i / DP.psi_bins for i in range(DP.psi_bins + 1)]
@@ -40,6 +44,20 @@ def _baseline(spark, sf_dir):
     return materialize(baseline_stats(_event_base(spark, sf_dir), FEATS), "baseline")
 
 
+def stored_baseline(spark, sf_dir):
+    """The published baseline of the window's present rows.  The commit is named
+    by those rows, so it is fitted when they are new or changed and loaded
+    otherwise, however many checks run."""
+    root = os.path.join(checkpoint_dir(spark), "baseline-store")
+    window = _event_base(spark, sf_dir).select("event_id", *FEATS)
+    commit = "events-" + fingerprint(window)
+    try:
+        return read_commit(spark, root, commit)
+    except LookupError:
+        publish(baseline_stats(window, FEATS), root, commit)
+        return read_commit(spark, root, commit)
+
+
 def _live_long(spark, sf_dir):
     return to_long(_event_live(spark, sf_dir), FEATS)
 
@@ -397,12 +415,13 @@ def _check_sql():
 
 def drift_check(spark, sf_dir, min_samples: int = DP.min_samples):
     """K5: captures -> vectors -> F9 gate -> long -> K3 -> K4 (one row, or
-    none when fewer than ``min_samples`` vectors were captured)."""
+    none when fewer than ``min_samples`` vectors were captured), against the
+    stored baseline."""
     from barsmith.session import materialize
     # parse the capture JSON once: the vector count and the drift counts
     # both read the parsed table
     vec = materialize(_vectors(spark, sf_dir), "vectors")
-    base = _baseline(spark, sf_dir)
+    base = stored_baseline(spark, sf_dir)
     feats = D.drift_features(base, C.vector_to_long(vec, "features", FEATS, ["event_id"]))
     n_live = vec.agg(F.count(F.lit(1)).alias("n_live_samples"))
     n_base = base.agg(F.max("n_train_samples").alias("n_baseline_samples"))

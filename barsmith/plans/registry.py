@@ -84,5 +84,5 @@ def _load() -> None:
     # importing the modules registers their queries
     from barsmith.plans import (  # noqa: F401
         q_features, q_bars, q_quality, q_splits, q_drift, q_backtest, q_ops,
-        q_models, q_streams,
+        q_models, q_streams, q_published,
     )
