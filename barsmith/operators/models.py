@@ -1,4 +1,4 @@
-"""Models on Spark ML (L1-L10) and the walk-forward AR(2) forecast.
+"""Models on Spark ML (L1-L10) and the walk-forward AR(2) forecast of returns.
 
 The reference's boosting library, pinball-loss boosters and TPE search are
 re-aimed (see README): GBTRegressor for the p50 model, residual quantiles
@@ -187,39 +187,43 @@ def param_search(folds: DataFrame, n_trials: int = DEFAULT_MODELS.n_trials, seed
 # ---------------------------------------------------------------------------
 # Walk-forward AR(2) one-step forecast (refit on all history each step)
 # ---------------------------------------------------------------------------
-def ar2_forecast(bars: DataFrame, value: str = "close", by=("ticker",), order: str = "date") -> DataFrame:
+def ar2_forecast(bars: DataFrame, value: str = "close", by=("ticker",), order: str = "date", *,
+                 returns: bool = True, min_obs: int = 30) -> DataFrame:
     """For every row t: fit x_s = c + a1 x_{s-1} + a2 x_{s-2} by least squares
-    on all s < t, then forecast x_t.  The fit needs only running sums of
-    products (exact cumulative sums over the blocked layout, carried across
-    blocks), solved in closed form (3x3, Cramer).  The MA term and the
-    maximum-likelihood fit of the reference's ARIMA are not built."""
+    on all s < t whose three values exist, then forecast x_t.  x is the return
+    on the row before (NULL where that is NULL or 0), or with ``returns=False``
+    the value itself.
+
+    The fit needs only running sums of products over the blocked layout,
+    carried across blocks.  They are sums of deviations from a constant of the
+    series near its mean, and the 2 x 2 system is in co-moments, so a level that
+    is large against the noise does not cancel.  The forecast is NULL without
+    both lags, for fewer than ``min_obs`` fitted rows, and where the lags are
+    collinear (1 - r^2 <= 1e-9).  The MA term and the maximum-likelihood fit of
+    the reference's ARIMA are not built."""
     by = list(by)
-    d = S.with_ordinal(bars.select(*by, order, value), by, order)
-    d = S.blocked(d, by, 4096, 3, 0)
+    src = bars.select(*by, order, value)
+    d = S.blocked(S.with_ordinal(src, by, order), by, 4096, 3, 0)
     w = S.block_window(by)
-    x = F.col(value)
-    x1, x2 = F.lag(x, 1).over(w), F.lag(x, 2).over(w)
-    d = d.select("*", x1.alias("_x1"), x2.alias("_x2")).filter(F.col(S.HOME))
-    ok = F.col("_x2").isNotNull()
-    terms = {
-        "_n": F.when(ok, F.lit(1.0)), "_s1": F.when(ok, F.col("_x1")), "_s2": F.when(ok, F.col("_x2")),
-        "_s11": F.when(ok, F.col("_x1") * F.col("_x1")), "_s12": F.when(ok, F.col("_x1") * F.col("_x2")),
-        "_s22": F.when(ok, F.col("_x2") * F.col("_x2")), "_sy": F.when(ok, x),
-        "_s1y": F.when(ok, F.col("_x1") * x), "_s2y": F.when(ok, F.col("_x2") * x),
-    }
-    d = d.select("*", *[t.alias(k + "_t") for k, t in terms.items()])
+    x = F.try_divide(F.col(value), F.lag(value, 1).over(w)) - 1 if returns else F.col(value)
+    d = d.withColumn("_x", x.cast("double"))
+    d = d.select("*", F.lag("_x", 1).over(w).alias("_x1"), F.lag("_x", 2).over(w).alias("_x2")).filter(F.col(S.HOME))
+    if returns:    # the mean of returns is small against their spread
+        d = d.withColumn("_s", F.lit(0.0))
+    else:          # one row a series
+        d = d.join(src.groupBy(*by).agg(F.coalesce(F.avg(value), F.lit(0.0)).alias("_s")), by)
+    u, u1, u2 = (F.col(c) - F.col("_s") for c in ("_x", "_x1", "_x2"))
+    ok = F.col("_x").isNotNull() & F.col("_x1").isNotNull() & F.col("_x2").isNotNull()
+    terms = {"_n": F.lit(1.0), "_s1": u1, "_s2": u2, "_sy": u, "_s11": u1 * u1, "_s12": u1 * u2, "_s22": u2 * u2,
+             "_s1y": u1 * u, "_s2y": u2 * u}
+    d = d.select("*", *[F.when(ok, t).alias(k + "_t") for k, t in terms.items()])
     d = S.running_sums(d, {k + "_t": k for k in terms}, by)
-    # sums over s < t: subtract the current row's own term
-    cur = {k: F.col(k) - F.coalesce(F.col(k + "_t"), F.lit(0.0)) for k in terms}
-    n, s1, s2, s11, s12, s22 = cur["_n"], cur["_s1"], cur["_s2"], cur["_s11"], cur["_s12"], cur["_s22"]
-    sy, s1y, s2y = cur["_sy"], cur["_s1y"], cur["_s2y"]
-
-    def det3(a, b, c, e, f, g, h, i, j):
-        return a * (f * j - g * i) - b * (e * j - g * h) + c * (e * i - f * h)
-
-    det = det3(n, s1, s2, s1, s11, s12, s2, s12, s22)
-    c0 = det3(sy, s1, s2, s1y, s11, s12, s2y, s12, s22)
-    a1 = det3(n, sy, s2, s1, s1y, s12, s2, s2y, s22)
-    a2 = det3(n, s1, sy, s1, s11, s1y, s2, s12, s2y)
-    fc = F.try_divide(c0 + a1 * F.col("_x1") + a2 * F.col("_x2"), F.nullif(det, F.lit(0.0)))
-    return d.select(*by, order, value, F.when(n >= 3, fc).alias("ar2_forecast"))
+    # sums over s < t: without the row's own term
+    n, s1, s2, sy, s11, s12, s22, s1y, s2y = (F.col(k) - F.coalesce(F.col(k + "_t"), F.lit(0.0)) for k in terms)
+    c11, c12, c22 = s11 - s1 * s1 / n, s12 - s1 * s2 / n, s22 - s2 * s2 / n
+    c1y, c2y = s1y - s1 * sy / n, s2y - s2 * sy / n
+    det = c11 * c22 - c12 * c12
+    a1, a2 = (c1y * c22 - c2y * c12) / det, (c2y * c11 - c1y * c12) / det
+    fc = F.col("_s") + sy / n + a1 * (u1 - s1 / n) + a2 * (u2 - s2 / n)
+    fits = (n >= max(min_obs, 3)) & (det > 1e-9 * c11 * c22)
+    return d.select(*by, order, value, F.when(n > 0, F.when(fits, fc)).alias("ar2_forecast"))

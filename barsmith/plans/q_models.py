@@ -1,5 +1,5 @@
 """Queries: Spark ML models and evaluation (L1-L10, A14, S20, W16) — rows-only
-checks (model fits have no SQL twin), except the naive parts elsewhere."""
+checks (model fits have no SQL twin), except the forecast and the naive parts."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from barsmith.operators import models as M
 from barsmith.operators import splits as SP
 from barsmith.operators.metrics import compute_metrics, cv_average, naive_mean
 from barsmith.operators.scaling import apply_scaler
-from barsmith.plans.registry import query, rounded
+from barsmith.plans import sql as Q
+from barsmith.plans.registry import R, query, rounded
 from barsmith.session import materialize
 from barsmith.sources.bars import daily_bars
 
@@ -139,7 +140,26 @@ def q_train_summary(spark, sf_dir):
     return s.withColumn("json", F.to_json(F.struct(*s.columns)))
 
 
-@query("ar2_forecast")
+def _ar2_sql() -> str:
+    lags = """
+  SELECT *, lag(r, 1) OVER w AS r1, lag(r, 2) OVER w AS r2 FROM (
+    SELECT ticker, date, close, close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS r FROM bars)
+  WINDOW w AS (PARTITION BY ticker ORDER BY date)"""
+    ok = "CASE WHEN r IS NOT NULL AND r1 IS NOT NULL AND r2 IS NOT NULL THEN {} END"
+    co = """
+  SELECT ticker, date, close, r1, r2, count(y) OVER w AS n, avg(y) OVER w AS my, avg(a) OVER w AS m1, avg(b) OVER w AS m2,
+         var_pop(a) OVER w AS c11, var_pop(b) OVER w AS c22, covar_pop(a, b) OVER w AS c12,
+         covar_pop(a, y) OVER w AS c1y, covar_pop(b, y) OVER w AS c2y
+  FROM xs WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    det = "(c11 * c22 - c12 * c12)"
+    fc = (f"CASE WHEN n >= 30 AND {det} > 1e-9 * c11 * c22 THEN my + (c1y * c22 - c2y * c12) / {det} * (r1 - m1) "
+          f"+ (c2y * c11 - c1y * c12) / {det} * (r2 - m2) END")
+    parts = {"bars": Q.BARS_D, "lags": lags,
+             "xs": f"  SELECT *, {ok.format('r')} AS y, {ok.format('r1')} AS a, {ok.format('r2')} AS b FROM lags", "co": co}
+    return Q.cte(**parts) + f"SELECT ticker, date, {R('close', 'close')}, {R(fc, 'ar2_forecast')} FROM co"
+
+
+@query("ar2_forecast", _ar2_sql)
 def q_ar2_forecast(spark, sf_dir):
-    """W16 re-aim: walk-forward AR(2) one-step forecasts of the close."""
+    """W16 re-aim: walk-forward AR(2) one-step forecasts of the daily return."""
     return rounded(M.ar2_forecast(daily_bars(spark, sf_dir)))
