@@ -9,9 +9,7 @@ live data and also runs as a streaming aggregate:
 * KS: the baseline ECDF only steps at the mid-points m_1 < ... < m_K, so
   sup |F_b - F_l| = max_k max(|B_k - L(<= m_k)|, |B_{k-1} - L(< m_k)|),
   which needs live counts per "number of mid-points below x" slot plus
-  "x equals a mid-point" counts.  p-value: asymptotic Kolmogorov series
-  with the Stephens small-sample correction (deviates slightly from an
-  exact p for small samples).
+  "x equals a mid-point" counts.  p-value: :func:`ks_pvalue`.
 * PSI: edges = distinct linear percentiles 0,10..100 of the weighted
   mid-points (exact weighted ranks over <= 20 values); live
   values outside the edges count in the denominator only.
@@ -19,9 +17,12 @@ live data and also runs as a streaming aggregate:
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from barsmith.functions.ksdist import exact_p
 from barsmith.operators.quantiles import running
 from barsmith.params import DriftParams, DEFAULT_DRIFT
 
@@ -148,16 +149,9 @@ def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEF
             F.abs(F.when(k > 1, el("_cb", F.greatest(k - 1, F.lit(1)))).otherwise(F.lit(0)) / nb
                   - (el("_lle", k) - el("_leq", k)) / nl)))
     D = F.array_max(gaps)
-    en = nb * nl / (nb + nl)
-    lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * D
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
-                         lambda a, k: a + F.pow(F.lit(-1.0), (k - 1).cast("double"))
-                         * F.exp(F.lit(-2.0) * (k * k).cast("double") * lam * lam))
-    p_asym = F.when(lam < 0.2, F.lit(1.0)).otherwise(
-        F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
     small = F.col("n_l") < params.min_feature_samples
     ks_stat = F.when(small, F.lit(0.0)).otherwise(D)
-    ks_p = F.when(small, F.lit(1.0)).otherwise(p_asym)
+    d = d.withColumn("_d", D)            # for the p-value of the last step
 
     # ---- PSI -------------------------------------------------------------------
     nbins = F.size("edges") - 1
@@ -178,12 +172,9 @@ def drift_from_slots(slots: DataFrame, ref: DataFrame, params: DriftParams = DEF
     psi_raw = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
     psi = F.when(small | (F.size("edges") < 2) | F.col("edges").isNull(), F.lit(0.0)).otherwise(psi_raw)
 
-    out = d.select(
-        *by, "feature",
-        ks_stat.alias("ks_statistic"),
-        ks_p.alias("ks_p_value"),
-        psi.alias("psi"),
-    )
+    out = d.select(*by, "feature", ks_stat.alias("ks_statistic"), psi.alias("psi"), "_d", "n_l", "n_b", small.alias("_small"))
+    out = out.withColumn("ks_p_value", F.when(F.col("_small"), F.lit(1.0)).otherwise(
+        ks_pvalue(F.col("_d"), F.col("n_b"), nl, params)))
     return out.select(
         *by, "feature", "ks_statistic", "ks_p_value",
         (F.col("ks_p_value") < params.ks_alpha).alias("ks_drifted"),
@@ -231,14 +222,27 @@ def report_json(report: DataFrame, features: DataFrame, ts: Column) -> DataFrame
     return doc
 
 
-def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sided KS p-value with the small-sample correction."""
+@F.pandas_udf(DoubleType())
+def _exact_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    rows = pd.DataFrame({"d": d, "n": n, "m": m})
+    known = rows.dropna()
+    return pd.Series([exact_p(*r) for r in known.itertuples(index=False)], index=known.index, dtype="float64").reindex(rows.index)
+
+
+def ks_pvalue(d: Column, n: Column, m: Column, params: DriftParams = DEFAULT_DRIFT) -> Column:
+    """Two-sided KS p-value: the finite-sample distribution where both samples
+    have at most ``params.ks_exact_max`` values, else the asymptotic series with
+    the Stephens correction.  One small array job per row, so rows are features."""
+    n, m = n.cast("double"), m.cast("double")
     en = n * m / (n + m)
     lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * d
     series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
                          lambda a, k: a + F.pow(F.lit(-1.0), (k - 1).cast("double"))
                          * F.exp(F.lit(-2.0) * (k * k).cast("double") * lam * lam))
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
+    asymptotic = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
+    exact = F.greatest(n, m) <= params.ks_exact_max
+    # Python columns are computed for all rows: those of large samples pass NULL
+    return F.when(exact, _exact_p(F.when(exact, d), F.when(exact, n), F.when(exact, m))).otherwise(asymptotic)
 
 
 def ks_two_sample(df: DataFrame, keys: list[str], sample: str = "sample", value: str = "value",
@@ -258,7 +262,7 @@ def ks_two_sample(df: DataFrame, keys: list[str], sample: str = "sample", value:
     g = j.groupBy(*keys).agg(F.max(gap).alias("ks_statistic"), F.max("n_a").alias("n_a"),
                              F.max("n_b").alias("n_b"))
     small = F.col("n_b") < params.min_feature_samples
-    p = ks_pvalue(F.col("ks_statistic"), F.col("n_a").cast("double"), F.col("n_b").cast("double"))
+    p = ks_pvalue(F.col("ks_statistic"), F.col("n_a"), F.col("n_b"), params)
     return g.select(*keys, F.when(small, F.lit(0.0)).otherwise(F.col("ks_statistic")).alias("ks_statistic"),
                     F.when(small, F.lit(1.0)).otherwise(p).alias("ks_p_value")) \
         .withColumn("ks_drifted", F.col("ks_p_value") < params.ks_alpha)

@@ -78,8 +78,10 @@ class DriftParams:
     # severity bands stable < 0.1 <= investigate < 0.2 <= severe;
     # overall drift when the drifted fraction >= 0.30; retrain when
     # max PSI >= 0.2 or overall drift; fewer than 10 live values -> no test;
-    # fewer than 50 captured vectors -> no report; 20 histogram bins.
+    # fewer than 50 captured vectors -> no report; 20 histogram bins; exact
+    # KS p-value where both samples have at most 10000 values.
     ks_alpha: float = 0.05
+    ks_exact_max: int = 10_000
     psi_bins: int = 10
     psi_clip: float = 1e-6
     psi_stable: float = 0.1

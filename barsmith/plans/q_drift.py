@@ -160,15 +160,8 @@ def drift_ctes(live_long: str | None = None, extra: dict[str, str] | None = None
         "ks0": f"""
   SELECT {k}feature, max(abs(sb / nb - sl / nl)) AS d, any_value(nb) AS nb, any_value(nl) AS nl
   FROM cdf GROUP BY {k}feature""",
-        "ks": f"""
-  SELECT {k}feature, d, nb, nl,
-         (sqrt(nb * nl / (nb + nl)) + 0.12 + 0.11 / sqrt(nb * nl / (nb + nl))) * d AS lam
-  FROM ks0 WHERE nl > 0""",
-        "ksp": """
-  SELECT *, CASE WHEN lam < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(greatest(2 * list_sum(
-            list_transform(range(1, 101), lambda k: pow(CAST(-1 AS DOUBLE), k - 1)
-                           * exp(CAST(-2 AS DOUBLE) * k * k * lam * lam))), 0), 1) END AS p
-  FROM ks""",
+        "ks": f"  SELECT {k}feature, d, nb, nl FROM ks0 WHERE nl > 0",
+        **Q.ks_p_ctes(["feature", *keys]),
         "edges": f"""
   SELECT feature, list_sort(list_distinct(quantile_cont(m, {probs}))) AS e FROM samp GROUP BY feature""",
         "bbin": """
@@ -482,15 +475,8 @@ def _ks_raw_sql():
          CAST(sum(ca) OVER (PARTITION BY feature) AS DOUBLE) AS na,
          CAST(sum(cb) OVER (PARTITION BY feature) AS DOUBLE) AS nb
   FROM agg WINDOW w AS (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-         "ks0": "  SELECT feature, max(abs(sa / na - sb / nb)) AS d, any_value(na) AS nl0, any_value(nb) AS nl FROM cdf GROUP BY feature",
-         "ks": """
-  SELECT feature, d, nl, (sqrt(nl0 * nl / (nl0 + nl)) + 0.12 + 0.11 / sqrt(nl0 * nl / (nl0 + nl))) * d AS lam
-  FROM ks0""",
-         "ksp": """
-  SELECT *, CASE WHEN lam < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(greatest(2 * list_sum(
-            list_transform(range(1, 101), lambda k: pow(CAST(-1 AS DOUBLE), k - 1)
-                           * exp(CAST(-2 AS DOUBLE) * k * k * lam * lam))), 0), 1) END AS p
-  FROM ks"""}
+         "ks": "  SELECT feature, max(abs(sa / na - sb / nb)) AS d, any_value(na) AS nb, any_value(nb) AS nl FROM cdf GROUP BY feature",
+         **Q.ks_p_ctes(["feature"])}
     return Q.cte(**c) + f"""
 SELECT feature, {sql_round(f'CASE WHEN nl < {DP.min_feature_samples} THEN 0.0 ELSE d END', 6)} AS ks_statistic,
   {sql_round(f'CASE WHEN nl < {DP.min_feature_samples} THEN 1.0 ELSE p END', 6)} AS ks_p_value,

@@ -7,6 +7,7 @@ EWMs use a recursive CTE (row by row), not the engine's blocked scan.
 
 from __future__ import annotations
 
+from barsmith.params import DEFAULT_DRIFT as DP
 from barsmith.params import DEFAULT_FEATURES as P
 
 
@@ -171,3 +172,43 @@ def bday_sql(d: str, n: int) -> str:
     if n == 1:
         return f"({d} + CASE isodow({d}) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END)"
     return f"({d} - CASE isodow({d}) WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END)"
+
+
+def ks_p_ctes(keys: list[str]) -> dict[str, str]:
+    """CTEs from ``ks`` (keys..., d, nb, nl) to ``ksp`` with p, the chance of a
+    statistic of at least d.
+
+    Small samples: lattice paths that stay inside the band |i n - j m| < h are
+    counted row by row as the window sum of the row before, scaled so that the
+    last row is a share of all paths; p is one minus that share.  A p whose
+    bound is below 1e-12 counts as 0.  Larger samples: the asymptotic series."""
+    on = " AND ".join(f"k.{c} = x.{c}" for c in keys)
+    hi = "least(x.n, CAST(ceil(({i} * x.n + x.h) / x.m) AS BIGINT) - 1)"
+    en = "(nb * nl / (nb + nl))"
+    return {
+        "kx": f"""
+  SELECT *, exp(-(lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)) / m) AS s FROM (
+    SELECT {", ".join(keys)}, row_number() OVER (ORDER BY {", ".join(keys)}) AS kid,
+           CAST(greatest(nb, nl) AS BIGINT) AS n, CAST(least(nb, nl) AS BIGINT) AS m, CAST(round(d * nb * nl) AS BIGINT) AS h
+    FROM ks WHERE least(nb, nl) > 0 AND greatest(nb, nl) <= {DP.ks_exact_max} AND 4 * exp(-2 * d * d * {en}) > 1e-12)
+  WHERE h > 0""",
+        "paths": f"""
+  SELECT x.kid, CAST(0 AS BIGINT) AS i, j, CAST(1 AS DOUBLE) AS a
+  FROM (SELECT *, unnest(range(0, n + 1)) AS j FROM kx) x WHERE j * x.m < x.h
+  UNION ALL
+  SELECT kid, i, j, s * sum(a) OVER (PARTITION BY kid ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  FROM (SELECT kid, n, m, h, s, i + 1 AS i, unnest(js) AS j, unnest(list_concat([a], list_transform(js[2:], lambda q: CAST(0 AS DOUBLE)))) AS a
+        FROM (SELECT x.*, p.i, p.a, CASE WHEN p.j = {hi.format(i="p.i")} THEN range(p.j, {hi.format(i="(p.i + 1)")} + 1) ELSE [p.j] END AS js
+              FROM paths p JOIN kx x ON p.kid = x.kid WHERE p.i < x.m))
+  WHERE abs(i * n - j * m) < h""",
+        "inside": "  SELECT p.kid, sum(p.a) AS a FROM paths p JOIN kx x ON p.kid = x.kid WHERE p.i = x.m AND p.j = x.n GROUP BY p.kid",
+        "ksp": f"""
+  SELECT k.*, CASE
+      WHEN round(k.d * k.nb * k.nl) = 0 THEN CAST(1 AS DOUBLE)
+      WHEN greatest(k.nb, k.nl) <= {DP.ks_exact_max} THEN CASE WHEN x.kid IS NULL THEN CAST(0 AS DOUBLE)
+        ELSE least(greatest(1 - coalesce(y.a, 0), 0), 1) END
+      WHEN k.lam < 0.2 THEN CAST(1 AS DOUBLE) ELSE least(greatest(2 * list_sum(
+            list_transform(range(1, 101), lambda q: pow(CAST(-1 AS DOUBLE), q - 1)
+                           * exp(CAST(-2 AS DOUBLE) * q * q * k.lam * k.lam))), 0), 1) END AS p
+  FROM (SELECT *, (sqrt({en}) + 0.12 + 0.11 / sqrt({en})) * d AS lam FROM ks) k
+  LEFT JOIN kx x ON {on} LEFT JOIN inside y ON x.kid = y.kid"""}
