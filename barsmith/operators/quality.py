@@ -7,9 +7,11 @@ validation is a single shuffle of a tiny partial-aggregate state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from barsmith.sources import snapshots as SN
 from barsmith.sources.bars import missing_columns
 
 # Required bar columns, the ticker pattern, batch bounds.
@@ -24,16 +26,74 @@ def _pct1(x: Column) -> Column:
     return F.concat(F.format_string("%.1f", x * F.lit(100.0)), F.lit("%"))
 
 
+def _row_rules() -> list[Column]:
+    """Mergeable counts of one-row rules: NULLs by column, prices, High < Low, volume."""
+    price_bad = (F.col("open") <= 0) | (F.col("high") <= 0) | (F.col("low") <= 0) | (F.col("close") <= 0)
+    return [F.count(F.lit(1)).alias("n_rows"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],
+            F.count_if(F.coalesce(price_bad, F.lit(False))).alias("n_nonpositive_price"),
+            F.count_if(F.coalesce(F.col("high") < F.col("low"), F.lit(False))).alias("n_high_lt_low"),
+            F.count_if(F.coalesce(F.col("volume") < 0, F.lit(False))).alias("n_negative_volume")]
+
+
+OBSERVED = ["n_rows", *[f"null_{c}" for c in REQUIRED], "n_nonpositive_price", "n_high_lt_low", "n_negative_volume"]
+
+
+def schema_errors(bars: DataFrame, order: str = "date") -> list[str]:
+    """Rules that need no row: required columns, and ``order`` a date or time."""
+    errors = [f"missing column {c}" for c in missing_columns(bars, [*REQUIRED, order])]
+    if order in bars.columns and not isinstance(bars.schema[order].dataType, (DateType, TimestampType, TimestampNTZType)):
+        errors.append(f"{order} is {bars.schema[order].dataType.simpleString()}, not a date or time")
+    return errors
+
+
+def observed_errors(counts: dict, max_null_pct: float = 0.05) -> list[str]:
+    """What the observed counts of :func:`publish_checked` break."""
+    n = counts["n_rows"]
+    nulls = [f"{c}: {counts[f'null_{c}']} of {n} values are NULL" for c in REQUIRED if counts[f"null_{c}"] > max_null_pct * n]
+    return nulls + [f"{k}: {counts[k]} rows" for k in OBSERVED[-3:] if counts[k]]
+
+
+def publish_checked(bars: DataFrame, root: str, commit: str, *, order: str = "date",
+                    max_null_pct: float = 0.05) -> tuple[dict | None, list[str]]:
+    """Q1 / Q2 in the pass that writes: the row rules are counted by an
+    observation on the write itself, and rows that break them are never
+    published (see :mod:`barsmith.sources.snapshots`).
+
+    Returns the observed counts over the whole table and the errors; published
+    if there are none.  Counts are None for a schema error, where nothing is
+    written, and for a commit that exists.  Rules on one series (its rows, its
+    duplicate dates, its own NULL share) need a grouping: :func:`validate_ohlcv`.
+    An empty table breaks no rule.  The observation sits in the stage that
+    writes, whose tasks count once however often they are tried."""
+    errors = schema_errors(bars, order)
+    if errors:
+        return None, errors
+    seen = Observation("row-rules")
+    counts = {}
+
+    def check():
+        counts.update(dict.fromkeys(OBSERVED, 0) | seen.get)     # an empty plan observes nothing
+        errors.extend(observed_errors(counts, max_null_pct))
+        if errors:
+            raise _Refused
+
+    try:
+        SN.publish(bars.observe(seen, *_row_rules()), root, commit, check=check)
+    except _Refused:
+        pass
+    return counts or None, errors
+
+
+class _Refused(Exception):
+    pass
+
+
 def rule_counts(bars: DataFrame, by: str = "ticker", order: str = "date") -> DataFrame:
     """A3-A5: rows, per-column null counts, non-positive price rows,
     High < Low rows, negative volume rows, duplicate timestamps."""
-    price_bad = (F.col("open") <= 0) | (F.col("high") <= 0) | (F.col("low") <= 0) | (F.col("close") <= 0)
     return bars.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],
-        F.count_if(F.coalesce(price_bad, F.lit(False))).alias("n_nonpositive_price"),
-        F.count_if(F.coalesce(F.col("high") < F.col("low"), F.lit(False))).alias("n_high_lt_low"),
-        F.count_if(F.coalesce(F.col("volume") < 0, F.lit(False))).alias("n_negative_volume"),
+        *_row_rules(),
         (F.count(F.lit(1)) - F.count_distinct(order)).alias("n_duplicate_dates"),
     )
 

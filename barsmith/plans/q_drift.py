@@ -19,6 +19,7 @@ from barsmith.plans.registry import R, query, rounded, sql_round
 from barsmith.session import checkpoint_dir
 from barsmith.sources import captures as C
 from barsmith.sources.snapshots import fingerprint, publish, read_commit
+from barsmith.sources.store import scratch_path
 
 FEATS = C.EVENT_FEATURES
 PSI_PROBS = [i / DP.psi_bins for i in range(DP.psi_bins + 1)]
@@ -380,9 +381,12 @@ def q_capture_parse(spark, sf_dir):
 SELECT event_id FROM ef
 WHERE CAST(ts AS DATE) >= DATE '2024-01-30' - INTERVAL 3 DAY""")
 def q_capture_recent(spark, sf_dir):
-    """Path-date pruning (YYYY/MM/DD in the path) at as_of 2024-01-30, 3 days."""
+    """Capture files in one folder a day (YYYY/MM/DD of their path), read
+    as of 2024-01-30 with 3 days; the other folders are pruned."""
     lines = C.capture_lines(spark, sf_dir, start=None)
-    return C.recent_files(lines, "2024-01-30", 3).select("event_id")
+    root = scratch_path(spark, "captures")
+    C.write_dated(lines, root)
+    return C.read_recent(spark, root, lines.schema, "2024-01-30", 3).select("event_id")
 
 
 @query("vector_to_long", lambda: Q.cte(**_capture_ctes()) + """

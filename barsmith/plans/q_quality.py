@@ -9,6 +9,7 @@ from barsmith.plans import sql as Q
 from barsmith.plans.registry import R, query, rounded
 from barsmith.sources.bars import build_bars, missing_columns
 from barsmith.sources.captures import vector_is_valid, vector_problems
+from barsmith.sources.store import scratch_path
 from barsmith.sources.tables import read_table
 
 # raw per-line price rows (one "bar" per lineitem): duplicates per date
@@ -100,6 +101,25 @@ def q_dq_assert(spark, sf_dir):
     return QL.validate_ohlcv(bars)
 
 
+def _observed_sql(name: str) -> str:
+    sums = ", ".join(f"CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}" for c in QL.OBSERVED)
+    bad = " OR ".join([f"sum(null_{c}) > 0.05 * sum(n_rows)" for c in QL.REQUIRED] + [f"sum({c}) > 0" for c in QL.OBSERVED[-3:]])
+    return f"SELECT '{name}' AS source, {sums}, NOT coalesce({bad}, false) AS published FROM {name}_c"
+
+
+@query("dq_observed", lambda: Q.cte(raw=RAW_SQL, raw_c=COUNTS_SQL, bars=Q.BARS_D, bars_c=COUNTS_SQL.replace("FROM raw", "FROM bars")) +
+       _observed_sql("bars") + " UNION ALL " + _observed_sql("raw"))
+def q_dq_observed(spark, sf_dir):
+    """Q1 / Q2 counted by the write: the daily bars are published, the raw rows
+    with their negative volumes are refused."""
+    from barsmith.sources.bars import daily_bars
+    root, rows = scratch_path(spark, "observed"), []
+    for name, df in (("bars", daily_bars(spark, sf_dir)), ("raw", raw_price_rows(spark, sf_dir))):
+        counts, errors = QL.publish_checked(df, f"{root}-{name}", "load-1")
+        rows.append((name, *[counts[c] for c in QL.OBSERVED], not errors))
+    return spark.createDataFrame(rows, "source string, " + ", ".join(f"{c} long" for c in QL.OBSERVED) + ", published boolean")
+
+
 @query("dq_schema", lambda: Q.cte(raw=RAW_SQL) + """
 SELECT DISTINCT ticker, false AS valid,
        [ticker || ': missing required columns: [''volume'']'] AS errors, CAST([] AS VARCHAR[]) AS warnings

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, StringType, StructField, StructType
 
 from barsmith.sources.tables import read_table
 
@@ -100,6 +100,27 @@ def recent_files(lines: DataFrame, as_of: str, days: int, path_col: str = "path"
     return lines.filter(d.isNull() | (d >= F.date_sub(F.lit(as_of).cast("date"), days)))
 
 
+DAY = "capture_day"
+
+
+def write_dated(lines: DataFrame, root: str, path_col: str = "path") -> None:
+    """Capture lines as Parquet in one folder a day (``capture_day=...``, from
+    the path), lines of undated paths in the layout's NULL folder.  No shuffle:
+    a day has at most one file of each task that holds its lines."""
+    if DAY in lines.columns:
+        raise ValueError(f"column {DAY!r} is the name of the layout")
+    lines.withColumn(DAY, path_date(F.col(path_col))).write.mode("append").partitionBy(DAY).parquet(root)
+
+
+def read_recent(spark: SparkSession, root: str, schema: StructType, as_of: str, days: int) -> DataFrame:
+    """S14 over :func:`write_dated`: lines of the last ``days`` days before
+    ``as_of`` and undated ones.  The condition is on the folders, so files of
+    other days are neither opened nor listed for the scan."""
+    d = F.col(DAY)
+    read = spark.read.schema(StructType([*schema.fields, StructField(DAY, DateType())])).parquet(root)
+    return read.filter(d.isNull() | (d >= F.date_sub(F.lit(as_of).cast("date"), days))).drop(DAY)
+
+
 def read_capture_files(spark: SparkSession, path: str) -> DataFrame:
     """S13 file source: every ``*.jsonl`` under ``path`` (recursive), with
     the file path for date pruning."""

@@ -19,6 +19,7 @@ import json
 import os
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +59,14 @@ def _folder(root: str, kind: str, commit: str, attempt: str) -> str:
     return os.path.join(root, kind, f"commit={commit}", f"attempt={attempt}")
 
 
-def publish(df: DataFrame, root: str, commit: str, position: str | None = None) -> bool:
+def publish(df: DataFrame, root: str, commit: str, position: str | None = None,
+            check: Callable[[], None] | None = None) -> bool:
     """Publishes the rows of ``df`` as ``commit``; False if that commit exists.
 
     ``position`` orders commits as text (the commit's name if None).  Columns
     must be those of the newest commit, names and types in order; a table
-    without rows is a valid commit."""
+    without rows is a valid commit.  ``check`` runs once the rows are written;
+    if it raises, the commit is not published."""
     if not _NAME.fullmatch(commit):
         raise ValueError(f"commit {commit!r} must be letters, digits, '.' and '-'")
     if clash := {"commit", "attempt"} & {c.lower() for c in df.columns}:
@@ -78,6 +81,8 @@ def publish(df: DataFrame, root: str, commit: str, position: str | None = None)
     attempt = uuid.uuid4().hex
     path = _folder(root, "data", commit, attempt)
     df.write.parquet(path)
+    if check:
+        check()
     n = spark.read.schema(df.schema).parquet(path).count()   # from the files' footers
     row = (position or commit, n, df.schema.json())
     (spark.createDataFrame([row], "position string, n_rows long, schema string")
