@@ -8,8 +8,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import version_tag
+from barsmith.operators import intervals as I
 from barsmith.operators import models as M
 from barsmith.operators import splits as SP
+from barsmith.operators.backtest import interval_fallback
 from barsmith.operators.metrics import compute_metrics, cv_average, naive_mean
 from barsmith.operators.scaling import apply_scaler
 from barsmith.plans import sql as Q
@@ -101,10 +103,50 @@ def q_feature_importance(spark, sf_dir):
 
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
-    """Score the test split with the OLS model (p50 + fallback band)."""
+    """The test split scored by the boosted model, with the band of its
+    residuals on the val split (which also ends the boosting)."""
     d = _split(spark, sf_dir)
-    m = M.fit_linear(d.filter(F.col("split") == "train"))
-    return M.score(m, d.filter(F.col("split") == "test"), "stock-model-ols")
+    m = _boosted(d)
+    held = materialize(m.transform(d.filter(F.col("split") == "val")).select("ticker", "date", "target", "prediction"), "residuals")
+    band = I.conformal_offsets(held)           # one row
+    p50 = F.col("prediction")
+    lower, upper = interval_fallback(p50)      # for a val split that is too small
+    return M.score(m, d.filter(F.col("split") == "test").crossJoin(F.broadcast(band)), "stock-model-gbt",
+                   lower=F.coalesce(p50 + F.col("lower_offset"), lower), upper=F.coalesce(p50 + F.col("upper_offset"), upper))
+
+
+# ---- L5 band of a plain p50, in SQL too ------------------------------------------
+def _conformal_sql() -> str:
+    from barsmith.plans.q_splits import _g_ctes
+    c = _g_ctes({
+        "p50": "  SELECT avg(target) AS prediction FROM g3 WHERE split = 'train'",
+        "res": """
+  SELECT ticker, count(*) AS n_cal, list_sort(list(target - prediction)) AS r
+  FROM g3 CROSS JOIN p50 WHERE split = 'val' GROUP BY ticker""",
+        "band": """
+  SELECT ticker, n_cal, prediction, prediction + r[NULLIF((n_cal + 1) * 100 // 1000, 0)] AS lo,
+         prediction + r[((n_cal + 1) * 900 + 999) // 1000] AS hi
+  FROM res CROSS JOIN p50""",
+        "cov": """
+  SELECT g3.ticker, count(*) AS n_rows,
+         avg(CAST(coalesce(target >= lo, true) AND coalesce(target <= hi, true) AS DOUBLE)) AS coverage
+  FROM g3 JOIN band ON g3.ticker = band.ticker WHERE split = 'test' GROUP BY g3.ticker"""})
+    cols = ", ".join([R("prediction", "prediction"), R("lo", "lower_bound"), R("hi", "upper_bound"), R("coverage", "coverage")])
+    return Q.cte(**c) + f"SELECT band.ticker, n_cal, {cols}, n_rows FROM band LEFT JOIN cov ON band.ticker = cov.ticker"
+
+
+@query("interval_conformal", _conformal_sql)
+def q_interval_conformal(spark, sf_dir):
+    """Per ticker the band of a p50 (mean target of the train split) by its
+    residuals on the val split, and how much of the test split it covers."""
+    d = _split(spark, sf_dir)
+    p50 = d.filter(F.col("split") == "train").agg(F.avg("target").alias("prediction"))   # one row
+    d = d.crossJoin(F.broadcast(p50))
+    band = materialize(I.conformal_offsets(d.filter(F.col("split") == "val"), ["ticker"]).crossJoin(F.broadcast(p50)).select(
+        "ticker", "n_cal", "prediction", (F.col("prediction") + F.col("lower_offset")).alias("lower_bound"),
+        (F.col("prediction") + F.col("upper_offset")).alias("upper_bound")), "band")
+    test = d.filter(F.col("split") == "test").select("ticker", "target").join(band, "ticker")
+    return rounded(band.join(I.coverage(test, ["ticker"]), "ticker", "left"))
 
 
 @query("model_cv")
@@ -123,15 +165,15 @@ def q_param_search(spark, sf_dir):
 
 @query("train_summary")
 def q_train_summary(spark, sf_dir):
-    """One-row run artefact (cv + test metrics of the OLS model, top-10
-    importances of the boosted one, version, row counts) and its JSON form."""
+    """One-row run artefact (test metrics and top-10 importances of the
+    boosted model, cross-validation of OLS on the folds, version, row counts)
+    and its JSON form."""
     d = _split(spark, sf_dir)
     counts = d.groupBy().pivot("split", ["train", "val", "test"]).count()
-    train = d.filter(F.col("split") == "train")
-    m = M.fit_linear(train)
+    m = _boosted(d)
     test = compute_metrics(m.transform(d.filter(F.col("split") == "test")))
     cv = cv_average(M.cv_linear(_tv_folds(spark, sf_dir, d)).withColumn("k", F.lit(1)), ["k"]).drop("k")
-    top = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(v).alias("importance")) for f, v in M.top_importances(_boosted(d))])
+    top = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(v).alias("importance")) for f, v in M.top_importances(m)])
     version = F.concat(F.lit("stock-model-"), version_tag(F.lit(dt.datetime(2024, 1, 31)).cast("timestamp")))
     s = (test.select(F.struct(*test.columns).alias("test_metrics"))
          .crossJoin(cv.select(F.struct(*cv.columns).alias("cv_metrics")))
