@@ -10,6 +10,8 @@ A document's set holds the hashes of its distinct five-word shingles.  Links
    d = floor((|A| + |B|) / 9) elements, so if more than d ranges of one of them
    hold two or more of its elements, at least one such range holds the same
    elements in both: the band, the range and its elements are the bucket key.
+   Of a set's n keys of a band the d + 1 smallest do: at most d are lacking in
+   the other set, so the smallest shared key is among these in both.
    A set with too few such ranges also takes part under each of its smallest
    n - ceil(0.8 n) + 1 hashes, of which two linked sets share at least one; so
    no link is lost.  A line or passage that many documents share hardly ever
@@ -20,11 +22,14 @@ A document's set holds the hashes of its distinct five-word shingles.  Links
    hashed bitmaps (about four bits an element) only: each differing bit is at
    least one differing element, so bit counts bound the overlap from above and
    tell which sets of a unit may link.
+   The keys are never written by row: they go into the shuffle that finds the
+   shared ones, along with one row for each document.
 3. Verification.  A unit's possible links are walked breadth-first, and only
    the steps of the walk, a spanning forest, are verified by exact
    intersection of the sorted arrays, each pair once however many units give
-   it.  That leaves the units in which a possible link joins sets that are not
-   connected by verified links: for their sets, all pairs that are not yet
+   it.  That leaves the units in which a step of the walk joins sets that are
+   not connected by verified links (a possible link between unconnected sets
+   has such a step on its way): for their sets, all pairs that are not yet
    connected are compared exactly, bit counts first.  Neither step ever gives
    all pairs of a group; :mod:`graph` joins the links.
 
@@ -48,11 +53,12 @@ from pyspark.sql import functions as F
 from barsmith.llm import bloom
 from barsmith.llm.common import ascii_lower, session, text_of, words
 from barsmith.llm.graph import components
-from barsmith.session import materialize
+from barsmith.session import bucketed, materialize
 
 WIDTH = 5  # words a shingle
 TILE = 512  # sets a tile
 SHARE, EXTRA = 0.27, 2  # ranges of a band: SHARE * N + EXTRA
+KEY_BITS = np.uint64((1 << 48) - 1)  # of a bucket key; two that meet by chance cost a comparison only
 SEEN = 1_000_000  # digests a task remembers to give a class's keys once
 
 
@@ -112,17 +118,18 @@ def bucket_keys(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
             full = counts >= 2
             so = o[starts][full]
             label = band[so].astype(np.uint64) << np.uint64(48) | r[starts][full] + np.uint64(1)
-            keys = _mix(sums[full] ^ _mix(label))
+            keys = _mix(sums[full] ^ _mix(label)) & KEY_BITS
             # differing elements that a link through this band can have at most
             largest = np.minimum(sizes + sizes // 4, 1 << band) if which == "own" else sizes + sizes // 4
-            lacking |= part & (np.bincount(so, minlength=n_sets) <= (sizes + largest) // 9)
+            differ = (sizes + largest) // 9
+            lacking |= part & (np.bincount(so, minlength=n_sets) <= differ)
             for i, k in zip(*_split(so, keys), strict=True):
-                out[i].append(k)
+                out[i].append(np.sort(k)[:differ[i] + 1])
         first = np.cumsum(sizes) - sizes
         for i in np.flatnonzero(lacking):
             n = int(sizes[i])
             prefix = h[first[i]:first[i] + n - -(-4 * n // 5) + 1]
-            out[i].append(_mix(_mix(prefix) + np.uint64(1)))
+            out[i].append(_mix(_mix(prefix) + np.uint64(1)) & KEY_BITS)
     return [np.concatenate(x).view(np.int64) if x else np.empty(0, dtype=np.int64) for x in out]
 
 
@@ -284,14 +291,14 @@ def _maps(members: list[list]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _likely(batches: Iterable) -> Iterator:
-    """Likely links of classes, from rows with their bitmaps."""
+    """Likely links of each unit's classes, from rows with their bitmaps."""
     def rows():
-        for _, members in _units(batches, ("c1", "size", "bits")):
+        for unit, members in _units(batches, ("c1", "size", "bits")):
             if len(members) > 1:
                 for a, b in likely_forest(*_maps(members)):
-                    yield members[a][0], members[b][0]
+                    yield (*unit, *sorted((members[a][0], members[b][0])))
 
-    return _batched(rows(), ["a", "b"])
+    return _batched(rows(), ["key", "i", "j", "a", "b"])
 
 
 def _undecided(batches: Iterable) -> Iterator:
@@ -330,14 +337,27 @@ def _id_key(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("null"))
 
 
-def linked_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def shared_buckets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(c1, doc_id, r1, r2, n_shingles, c2) of every row of ``sets``, and (key,
+    c1) of the bucket keys that classes share.  Both come out of one shuffle: a
+    document's row is dealt by its place, the first of the rows with its keys."""
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    keyed = sets.mapInArrow(_keyed, f"doc_id {kind}, r1 long, r2 long, n_shingles long, c1 long, c2 long, keys array<long>")
+    rows = keyed.select("*", F.explode(F.concat(F.array(F.lit(None).cast("long")), "keys")).alias("key"))
+    place = F.monotonically_increasing_id().alias("place")
+    doc = F.when(F.col("key").isNull(), F.struct("doc_id", "r1", "r2", "n_shingles", "c2", place))
+    rows = rows.select("c1", doc.alias("doc"), "key").select("c1", F.coalesce("key", F.xxhash64("doc.place")).alias("key"), "doc")
+    w, c1 = Window.partitionBy("key"), F.when(F.col("doc").isNull(), F.col("c1"))
+    rows = (rows.select("*", F.min(c1).over(w).alias("_lo"), F.max(c1).over(w).alias("_hi"))
+            .filter("doc is not null or _lo < _hi").select("key", "c1", "doc").distinct())
+    rows = materialize(rows, "shared-buckets")
+    named = rows.filter("doc is not null").select("c1", *[F.col(f"doc.{c}").alias(c) for c in ("doc_id", "r1", "r2", "n_shingles", "c2")])
+    return named, rows.filter("doc is null").select("key", "c1")
+
+
+def linked_classes(docs: DataFrame, keyed: DataFrame, shared: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, root): digests of classes that have links, and their components."""
     spark = docs.sparkSession
-    rows = keyed.select("c1", F.explode("keys").alias("key"))
-    w = Window.partitionBy("key")
-    shared = (rows.withColumn("_lo", F.min("c1").over(w)).withColumn("_hi", F.max("c1").over(w))
-              .filter("_lo < _hi").select("key", "c1").distinct())
-    shared = materialize(shared, "shared-buckets")
     # buckets with the same members are one
     members = shared.groupBy("key").agg(F.count("*").alias("n"), *[
         F.sum(F.xxhash64("c1", F.lit(s)).cast("decimal(38,0)")).alias(f"s{s}") for s in (0, 1)])
@@ -356,24 +376,33 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str
     few = bloom.possible_hits(docs.withColumn("__id", _id_key(id_col)), "__id", bloom.build(ids, "id"))
     sets = (_with_sets(few, id_col, text_col).join(needed, "c1", "left_semi")
             .select("c1", "set").dropDuplicates(["c1"]))
-    sets = materialize(sets, "needed-sets")
+    # read by class in three joins, so dealt by class once
+    with bucketed(sets, "c1", spark_partitions(spark), "needed-sets") as sets:
+        return roots_of(mine, sets)
+
+
+def roots_of(mine: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root) of the links in the units ``mine`` of the classes ``sets``."""
+    spark = mine.sparkSession
 
     def dealt(rows, *columns):
         rows = rows.repartition(spark_partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j", "c1")
         return rows.select("key", "i", "j", "c1", *columns)
 
     maps = materialize(sets.mapInArrow(_bitmaps, "c1 long, size long, bits binary"), "set-bitmaps")
-    likely = dealt(mine.join(maps, "c1"), "size", "bits").mapInArrow(_likely, "a long, b long")
-    likely = materialize(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "likely-links")
+    steps = dealt(mine.join(maps, "c1"), "size", "bits").mapInArrow(_likely, "key long, i long, j long, a long, b long")
+    steps = materialize(steps, "likely-links")
+    likely = steps.select("a", "b").distinct()
     first, second = (sets.select(F.col("c1").alias(c), F.col("set").alias(f"s{c}")) for c in "ab")
     shared = F.size(F.array_intersect("sa", "sb"))
     links = likely.join(first, "a").join(second, "b").filter(9 * shared >= 4 * (F.size("sa") + F.size("sb"))).select("a", "b")
     links = materialize(links, "links")
     roots = components(links)
     known = maps.join(roots.withColumnRenamed("node", "c1"), "c1", "left").withColumn("root", F.coalesce("root", "c1"))
-    # only units whose sets have two roots or more can hold a link that matters
-    mixed = mine.join(roots.withColumnRenamed("node", "c1"), "c1", "left").groupBy("key", "i", "j").agg(
-        F.min(F.coalesce("root", "c1")).alias("lo"), F.max(F.coalesce("root", "c1")).alias("hi")).filter("lo < hi").select("key", "i", "j")
+    # a possible link between two roots has a step between two roots in its unit
+    ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
+    mixed = (steps.join(ends[0], "a", "left").join(ends[1], "b", "left")
+             .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("key", "i", "j").distinct())
     mixed = materialize(mixed, "mixed-units")
     left = dealt(mine.join(mixed, ["key", "i", "j"]).join(known, "c1"), "size", "bits", "root").mapInArrow(_undecided, "key long, i long, j long, c1 long")
     left = materialize(left, "undecided")
@@ -394,11 +423,9 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     """Per row with words: doc_id, r1, r2, n_shingles, class_id, component_id,
     root; and the ids of the rows without."""
     session(docs.sparkSession)
-    sets = _with_sets(docs, id_col, text_col)
-    kind = sets.schema["doc_id"].dataType.simpleString()
-    keyed = materialize(sets.mapInArrow(_keyed, f"doc_id {kind}, r1 long, r2 long, n_shingles long, c1 long, c2 long, keys array<long>"), "bucket-keys")
+    keyed, shared = shared_buckets(_with_sets(docs, id_col, text_col))
     worded = keyed.filter("n_shingles > 0")
-    roots = linked_classes(docs, worded, id_col, text_col).withColumnRenamed("node", "c1")
+    roots = linked_classes(docs, worded, shared, id_col, text_col).withColumnRenamed("node", "c1")
     classes = worded.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"))
     classes = materialize(classes.join(roots, "c1", "left").withColumn("root", F.coalesce("root", "c1")), "classes")
     smallest = materialize(classes.groupBy("root").agg(F.min("class_id").alias("component_id")), "components")
